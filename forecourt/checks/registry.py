@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from forecourt.checks import models
+from forecourt.checks import models, staging
 
-_MODULES = (models,)
+_MODULES = (models, staging)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

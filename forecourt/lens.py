@@ -235,9 +235,20 @@ class Lens:
         return self.spark.sql(text, **inputs)
 
     def all_versions(self, name: str) -> DataFrame:
-        """Subscriptions or invoices before the latest version is chosen."""
-        records = self.view("line_records", lines=self.table("lineitem"))
-        return self.view(name, line_records=records)
+        """Subscriptions or invoices before the latest version is chosen.
+
+        ``run_key`` is text that orders versions of the same day as the lens does.
+        """
+        digits = [
+            F.lpad(F.col(c).cast("string"), 20, "0") for c in ("l_partkey", "l_suppkey")
+        ] + [
+            F.lpad((F.col(c) * 100).cast("decimal(18,0)").cast("string"), 20, "0")
+            for c in ("l_extendedprice", "l_quantity")
+        ]
+        lines = self.table("lineitem").withColumn("run_key", F.concat(*digits))
+        records = self.view("line_records", lines=lines)
+        text = VIEWS[name].replace("FROM {line_records}", ", run_key FROM {line_records}")
+        return self.spark.sql(text, line_records=records)
 
 
 def view_inputs(name: str) -> list[str]:

@@ -248,7 +248,7 @@ def land_by_content(spark: SparkSession, path: str, target: str) -> DataFrame:
         known = partition_values(spark, target, "sha256")
         fresh = found.join(known, "sha256", "left_anti")
     (
-        fresh.select(F.decode("content", F.lit("UTF-8")).alias("value"), "sha256")
+        fresh.select(F.decode("content", "UTF-8").alias("value"), "sha256")
         .write.mode("append")
         .partitionBy("sha256")
         .text(target)
