@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from forecourt.checks import models, staging
+from forecourt.checks import landing, models, operators, staging
 
-_MODULES = (models, staging)
+_MODULES = (models, staging, landing, operators)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

@@ -12,8 +12,8 @@ from forecourt.functions.workspace import cut_lineage
 _PARTITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def with_row_number(df: DataFrame, order: Sequence[str], name: str = "row_no") -> DataFrame:
-    """Number the rows 1, 2, 3, … in the given order.
+def with_row_number(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Number the rows 1, 2, 3, … in the given order, as ``row_no`` beside ``total_records``.
 
     Rows are range-partitioned and sorted inside each partition; a row's number
     is its place there plus the rows in all lower partitions. The placed rows are
@@ -29,19 +29,16 @@ def with_row_number(df: DataFrame, order: Sequence[str], name: str = "row_no") -
     placed = cut_lineage(placed)
     part = F.shiftright("__place", _PARTITION_BITS)
     sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
-    below = F.coalesce(
-        F.sum("__size").over(
-            Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
-    )
-    offsets = sizes.select("__part", below.alias("__below"))
+    lower = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("__size").over(lower), F.lit(0))
+    total = F.sum("__size").over(Window.partitionBy())
+    offsets = sizes.select("__part", below.alias("__below"), total.alias("total_records"))
     within = F.col("__place") - F.shiftleft(part, _PARTITION_BITS)
     return (
         placed.withColumn("__part", part)
         .join(offsets, "__part")
-        .withColumn(name, F.col("__below") + within + 1)
-        .select(*df.columns, name)
+        .withColumn("row_no", F.col("__below") + within + 1)
+        .select(*df.columns, "row_no", "total_records")
     )
 
 
@@ -52,10 +49,9 @@ def page_number(row_no: Column, size: int) -> Column:
 def page_slice(df: DataFrame, order: Sequence[str], page: int, size: int) -> DataFrame:
     """The rows of one page, with total records and pages; deep pages cost no more."""
     numbered = with_row_number(df, order)
-    totals = numbered.agg(F.max("row_no").alias("total_records"))
-    wanted = numbered.filter((F.col("row_no") > (page - 1) * size) & (F.col("row_no") <= page * size))
+    first, last = (page - 1) * size + 1, page * size
     return (
-        wanted.join(F.broadcast(totals))  # one row
+        numbered.filter(F.col("row_no").between(first, last))
         .withColumn("total_pages", F.ceil(F.col("total_records") / size))
         .drop("row_no")
     )
@@ -69,9 +65,9 @@ def paged_envelopes(df: DataFrame, order: Sequence[str], size: int) -> DataFrame
     numbered = with_row_number(df, order)
     record = F.struct(*df.columns)
     pages = numbered.groupBy(page_number(F.col("row_no"), size).alias("page")).agg(
-        F.sort_array(F.collect_list(F.struct("row_no", record.alias("record")))).alias("rows")
+        F.max("total_records").alias("total_records"),
+        F.sort_array(F.collect_list(F.struct("row_no", record.alias("record")))).alias("rows"),
     )
-    totals = numbered.agg(F.max("row_no").alias("total_records"))
     envelope = F.struct(
         "page",
         F.lit(size).alias("page_size"),
@@ -79,6 +75,6 @@ def paged_envelopes(df: DataFrame, order: Sequence[str], size: int) -> DataFrame
         F.ceil(F.col("total_records") / size).alias("total_pages"),
         F.col("rows.record").alias("data"),
     )
-    return pages.join(F.broadcast(totals)).select(  # one row
+    return pages.select(
         "page", F.to_json(envelope, {"ignoreNullFields": "false"}).alias("raw_json")
     )
