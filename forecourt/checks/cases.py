@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from forecourt.checks import models  # noqa: F401  (adds the model views)
 from forecourt.checks.compare import plain
 from forecourt.checks.duck import with_views
 from forecourt.checks.frames import LensModels
