@@ -38,20 +38,26 @@ def _(m: LensModels) -> DataFrame:
 
 @case(
     "fn_try_cast",
-    r"""SELECT doc_id,
+    """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
               CAST(TRY_CAST(word AS INTEGER) AS BIGINT) AS as_number,
               CAST(TRY_CAST(word AS DECIMAL(12,2)) AS DOUBLE) AS as_money
-       FROM (SELECT doc_id, CASE WHEN regexp_matches(word, '^-?[0-9]{1,6}$') THEN word
-                                 ELSE 'x' || word END AS word
-             FROM (SELECT doc_id, trim(split_part(text, ' ', 1), E' \n\t\r') AS word
-                   FROM documents))""",
+       FROM (SELECT *, CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN 'n/a'
+                            WHEN 3 THEN l_orderkey || '00000000000'
+                            ELSE CAST(l_orderkey AS VARCHAR) END AS word FROM lines)""",
+    "lines",
 )
 def _(m: LensModels) -> DataFrame:
-    # Most first words of a document are no numbers.
-    word = F.expr(r"trim(BOTH ' \n\t\r' FROM split_part(text, ' ', 1))")
-    word = F.when(word.rlike("^-?[0-9]{1,6}$"), word).otherwise(F.concat(F.lit("x"), word))
-    return m.table("documents").select(
-        "doc_id",
+    # Empty text, words and numbers out of range become NULL.
+    line, number = F.col("l_linenumber"), F.col("l_orderkey").cast("string")
+    word = (
+        F.when(line == 1, "")
+        .when(line == 2, "n/a")
+        .when(line == 3, F.concat(number, F.lit("00000000000")))
+        .otherwise(number)
+    )
+    return m.lines().select(
+        "l_orderkey",
+        "l_linenumber",
         casts.to_type(word, "int").alias("as_number"),
         casts.to_type(word, "decimal(12,2)").alias("as_money"),
     )
