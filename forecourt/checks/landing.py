@@ -257,7 +257,7 @@ def _(m: LensModels) -> DataFrame:
     landing.land_new_days(m.spark, first, target, ledger)
     write_event_days(rows.unionAll(early), second)
     landing.land_new_days(m.spark, second, target, ledger)
-    landed = raw.read_events(m.spark, target, files="part-*.txt.gz")
+    landed = raw.read_events(m.spark, target)
     return landed.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
 
 

@@ -22,7 +22,7 @@ from forecourt.operators.incremental import (
     read_watermark,
 )
 from forecourt.operators.paging import paged_envelopes
-from forecourt.sources.raw import partition_values
+from forecourt.sources.raw import LINES_FILES, partition_values
 from forecourt.sources.tables import path_exists
 
 # Batch and page sizes of the sources, and the form of a day folder.
@@ -214,7 +214,7 @@ def land_new_days(spark: SparkSession, source: str, target: str, landed: str) ->
         return []
     lines = (
         spark.read.schema("value string, event_date string")
-        .option("pathGlobFilter", "*.{jsonl,json}.gz")
+        .option("pathGlobFilter", LINES_FILES)
         .text(source)
         .filter(F.col("event_date").isin(days))
     )

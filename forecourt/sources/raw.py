@@ -16,10 +16,11 @@ from forecourt.schemas import (
     RAW_TARGETS,
     RAW_VEHICLES,
     RUN_PARTITIONS,
+    TARGET_COLUMNS,
 )
 
 # Names of the files that hold business rows.
-LINES_FILES = "*.{jsonl,json}.gz"
+LINES_FILES = "*.{jsonl,json,txt}.gz"
 PAGE_FILES = "{page=*.json,part-*.txt*}"
 TARGET_FILES = "{*sales_targets.csv,part-*.txt*}"
 
@@ -85,9 +86,10 @@ def read_sales_targets(
         .option("escape", '"')
         .option("pathGlobFilter", files)
     )
+    rows = reader.csv(path)
     if keep_empty:
-        reader = reader.option("nullValue", "\u0000").option("emptyValue", "")
-    return with_source_file(reader.csv(path))
+        rows = rows.fillna("", list(TARGET_COLUMNS))
+    return rows.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
