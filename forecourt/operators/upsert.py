@@ -24,7 +24,7 @@ from forecourt.sources.tables import (
 
 
 def require_unique_keys(source: DataFrame, key: str) -> None:
-    """Fail if two rows of a batch claim the same key."""
+    """Fail if two rows of a batch claim the same key. This reads the batch once more."""
     repeated = repeated_keys(source.filter(F.col(key).isNotNull()), [key]).limit(3).collect()
     if repeated:
         raise ValueError(f"several batch rows for one {key}, e.g. {repeated[0][key]!r}")

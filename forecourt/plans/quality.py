@@ -137,11 +137,35 @@ def raw_checks(raw: Frames) -> DataFrame:
     return stack_all(parts)
 
 
+def primary_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows without a key and keys held by several rows, added up over tables.
+
+    Both come from one count per key, so each table is scanned once.
+    """
+    per_table = []
+    for df, key in tables.values():
+        counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        per_table.append(
+            counts.agg(
+                F.sum(F.when(F.col("key").isNull(), F.col("rows")).otherwise(0)).alias("nulls"),
+                F.count_if(F.col("rows") > 1).alias("repeats"),
+            )
+        )
+    sums = stack_all(per_table).agg(F.sum("nulls").alias("nulls"), F.sum("repeats").alias("repeats"))
+    named = {"null_primary_keys": "nulls", "duplicate_primary_keys": "repeats"}
+    checks = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("bad_rows"),
+        )
+        for name, c in named.items()
+    ]
+    return sums.select(F.inline(F.array(*checks)))
+
+
 def staging_checks(staged: Frames) -> DataFrame:
     tables = [t for t in KEYS if t.startswith("stg_")]
-    nulls = stack_all([null_keys(staged[t], KEYS[t], t) for t in tables])
-    repeats = stack_all([duplicate_keys(staged[t], KEYS[t], t) for t in tables])
-    parts = [total("null_primary_keys", nulls), total("duplicate_primary_keys", repeats)]
+    parts = [primary_keys({t: (staged[t], KEYS[t]) for t in tables})]
     for name, (child, key, parent) in FOREIGN_KEYS.items():
         parts.append(orphan_rows(staged[child], key, staged[parent], KEYS[parent], name))
     return stack_all(parts)

@@ -59,7 +59,14 @@ def stage_event_stream(
     def upsert(batch: DataFrame, _: int) -> None:
         rows = stage(SPEC, batch, staged_at=staged_at)
         upsert_partitions(
-            spark, table_root, SPEC.table, rows, SPEC.partition_column, by_month=False, guard=guard
+            spark,
+            table_root,
+            SPEC.table,
+            rows,
+            SPEC.partition_column,
+            by_month=False,
+            guard=guard,
+            verify_keys=False,
         )
 
     return (
