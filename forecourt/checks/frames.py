@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from forecourt.functions.workspace import cut_lineage
 from forecourt.lens import Lens
 from forecourt.plans import dimensions, facts, intermediate, marts
 
@@ -44,6 +45,19 @@ class LensModels(Lens):
     def invoices(self) -> DataFrame:
         return self.view("invoices")
 
+    @cached_property
+    def staged_lines(self) -> DataFrame:
+        """Order lines written once, as a staged table would be: several models read them."""
+        return cut_lineage(self.view("line_records"))
+
+    @cached_property
+    def staged_subscriptions(self) -> DataFrame:
+        return self.view("subscriptions", line_records=self.staged_lines)
+
+    @cached_property
+    def staged_invoices(self) -> DataFrame:
+        return self.view("invoices", line_records=self.staged_lines)
+
     @cached_property
     def prices(self) -> DataFrame:
         return self.view("prices")
@@ -59,13 +73,17 @@ class LensModels(Lens):
     @cached_property
     def int_dealer_subscription_snapshot(self) -> DataFrame:
         return intermediate.int_dealer_subscription_snapshot(
-            self.subscriptions, self.contracts, self.accounts, self.products
+            self.staged_subscriptions, self.contracts, self.accounts, self.products
         )
 
     @cached_property
     def int_invoice_enriched(self) -> DataFrame:
         return intermediate.int_invoice_enriched(
-            self.invoices, self.subscriptions, self.contracts, self.accounts, self.products
+            self.staged_invoices,
+            self.staged_subscriptions,
+            self.contracts,
+            self.accounts,
+            self.products,
         )
 
     @cached_property

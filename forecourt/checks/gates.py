@@ -20,7 +20,11 @@ LINE_ID = "l_orderkey || '-' || l_linenumber"
 
 
 def staged_frames(m: LensModels) -> dict[str, DataFrame]:
-    names = {"events_view": "events"}
+    names = {
+        "events_view": "events",
+        "subscriptions": "staged_subscriptions",
+        "invoices": "staged_invoices",
+    }
     return {t: getattr(m, names.get(v, v)) for t, v in VIEW_OF.items()}
 
 
