@@ -120,8 +120,10 @@ def read_relational(
 
 def partition_values(spark: SparkSession, path: str, column: str) -> DataFrame:
     """Values a path partition takes, from the file listing; no file content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-    return files.select(F.col(column).cast("string").alias(column)).distinct()
+    # The schema is given so that values are not taken for dates or numbers.
+    listed = "path string, modificationTime timestamp, length bigint, content binary"
+    files = spark.read.format("binaryFile").schema(f"{listed}, `{column}` string").load(path)
+    return files.select(column).distinct()
 
 
 RAW_READERS = {
