@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from forecourt.checks.compare import NULLABLE_NUMBERS
 from forecourt.lens import LINE_KEYS, LINE_NEWEST_FIRST, SOURCE_TABLES, VIEWS, view_inputs
 from forecourt.schemas import AUDIT_COLUMNS, column_types
 
@@ -60,7 +61,7 @@ def with_views(body: str, *names: str) -> str:
 
 def plain_column(name: str, kind: str) -> str:
     """One output column in the form in which both engines are compared."""
-    if kind.startswith("decimal"):
+    if kind.startswith("decimal") or name in NULLABLE_NUMBERS:
         return f"CAST({name} AS DOUBLE) AS {name}"
     if kind == "int":
         return f"CAST({name} AS BIGINT) AS {name}"

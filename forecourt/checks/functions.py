@@ -23,7 +23,7 @@ case = cases.case
     """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS as_text,
               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS as_day,
               CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS as_money,
-              CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS as_number
+              CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority_no
        FROM orders""",
 )
 def _(m: LensModels) -> DataFrame:
@@ -32,14 +32,14 @@ def _(m: LensModels) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("as_text"),
         F.col("o_orderdate").cast("date").alias("as_day"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("as_money"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("as_number"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority_no"),
     )
 
 
 @case(
     "fn_try_cast",
     """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-              CAST(TRY_CAST(word AS INTEGER) AS BIGINT) AS as_number,
+              CAST(TRY_CAST(word AS INTEGER) AS DOUBLE) AS as_number,
               CAST(TRY_CAST(word AS DECIMAL(12,2)) AS DOUBLE) AS as_money
        FROM (SELECT *, CASE l_linenumber WHEN 1 THEN '' WHEN 2 THEN 'n/a'
                             WHEN 3 THEN l_orderkey || '00000000000'

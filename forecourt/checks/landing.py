@@ -33,8 +33,8 @@ def read_back(m: LensModels, folder: str, schema: str) -> DataFrame:
 
 @case(
     "read_json_lines",
-    f"""SELECT vehicle_id, make, model, CAST(model_year AS BIGINT) AS model_year, fuel_type,
-               body_type, CAST(mileage_km AS BIGINT) AS mileage_km,
+    f"""SELECT vehicle_id, make, model, CAST(model_year AS DOUBLE) AS model_year, fuel_type,
+               body_type, CAST(mileage_km AS DOUBLE) AS mileage_km,
                strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at,
                strftime(updated_at, '%Y-%m-%dT%H:%M:%S') AS updated_at,
                '{DAY}' AS extract_date, '0012' AS run_id
@@ -67,7 +67,7 @@ def _(m: LensModels) -> DataFrame:
 
 
 PAGES_SQL = """
-    SELECT (row_no - 1) // {size} + 1 AS page, {size} AS page_size,
+    SELECT (row_no - 1) // {size} + 1 AS page, CAST({size} AS BIGINT) AS page_size,
            max(total) AS total_records, CAST(ceil(max(total) / {size}) AS BIGINT) AS total_pages,
            count(*) AS records, min({key}) AS first_key, max({key}) AS last_key
     FROM (SELECT {key}, row_number() OVER (ORDER BY {key}) AS row_no,

@@ -259,7 +259,7 @@ def _(m: LensModels) -> DataFrame:
 @case(
     "role_playing_join",
     """SELECT contract_id, CAST(strftime(contract_start_date, '%Y%m%d') AS BIGINT) AS start_key,
-              CAST(strftime(contract_end_date, '%Y%m%d') AS BIGINT) AS end_key
+              CAST(strftime(contract_end_date, '%Y%m%d') AS DOUBLE) AS end_key
        FROM contracts""",
     "contracts",
 )
@@ -344,8 +344,8 @@ def _(m: LensModels) -> DataFrame:
 @case(
     "key_spine_join",
     """SELECT CAST(month_start AS VARCHAR) AS month_start, market, sales_rep, product_group,
-              CAST(cents AS BIGINT) AS revenue_cents, CAST(target_cents AS BIGINT) AS target_cents,
-              active_subscriptions
+              CAST(cents AS DOUBLE) AS revenue_cents, CAST(target_cents AS DOUBLE) AS target_cents,
+              CAST(active_subscriptions AS DOUBLE) AS started_subscriptions
        FROM sales_revenue
        FULL JOIN sales_targets USING (month_start, market, sales_rep, product_group)
        FULL JOIN sales_subscriptions USING (month_start, market, sales_rep, product_group)""",
@@ -363,7 +363,7 @@ def _(m: LensModels) -> DataFrame:
         .agg(cents("revenue_target_eur").alias("target_cents")),
         started_active_rows(m.fact_subscription)
         .groupBy(*SALES_KEYS)
-        .agg(F.count(F.lit(1)).alias("active_subscriptions")),
+        .agg(F.count(F.lit(1)).alias("started_subscriptions")),
     ]
     rows = joins.key_spine(parts, SALES_KEYS)
     for part in parts:
@@ -373,17 +373,18 @@ def _(m: LensModels) -> DataFrame:
 
 @case(
     "pre_aggregated_join",
-    """SELECT listing_id, engagement_events, unique_sessions
+    """SELECT listing_id, CAST(engagement_events AS DOUBLE) AS events_found,
+              CAST(unique_sessions AS DOUBLE) AS sessions_found
        FROM listings LEFT JOIN listing_counts USING (listing_id)""",
     "listings", "listing_counts",
 )
 def _(m: LensModels) -> DataFrame:
-    counts = ("engagement_events", "unique_sessions")
+    counts = {"events_found": "engagement_events", "sessions_found": "unique_sessions"}
     rows = joins.lookup(
         m.listings,
         listing_engagement(m.events),
         on={"listing_id": "listing_id"},
-        take={c: c for c in counts},
+        take=counts,
     )
     return rows.select("listing_id", *counts)
 
