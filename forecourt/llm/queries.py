@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import lengths, planes
+from forecourt.llm import lengths, planes, simhash
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(corpus_table(spark, sf_dir, "documents"))
+
+
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return planes.token_files(spark, docs, public_tokenizers.path(TOKENIZER))
@@ -25,6 +29,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op4_bit_planes": op4_bit_planes,
     "op10_length_histogram": op10_length_histogram,
 }
