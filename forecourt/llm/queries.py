@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import lengths, planes, simhash
+from forecourt.llm import automaton, lengths, planes, simhash
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +22,48 @@ def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(spark, docs, public_tokenizers.path(TOKENIZER))
 
 
+def op9_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus_table(spark, sf_dir, "documents")
+    return automaton.overlap_report(docs, corpus_table(spark, sf_dir, "benchmark"))
+
+
+OP9_SQL = """
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, w[i : i + least(len(w), 10) - 1] AS win
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+          FROM items WHERE len(w) > 0)
+), docs AS (
+    SELECT doc_id, row_number() OVER () AS row_no,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), places AS (
+    SELECT row_no, s.size, i, w[i : i + s.size - 1] AS win
+    FROM (SELECT row_no, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size) AS s
+), found AS (
+    SELECT p.row_no, p.size, p.i, x.item_id
+    FROM places AS p JOIN windows AS x ON p.size = x.size AND p.win = x.win
+), hits AS (
+    SELECT row_no, count(DISTINCT place) AS n_hit
+    FROM (SELECT row_no, unnest(range(i, i + size)) AS place FROM found) GROUP BY row_no
+), ids AS (
+    SELECT row_no, count(DISTINCT item_id) AS n_items,
+           sha256(array_to_string(list_sort(list(DISTINCT item_id)), ',')) AS digest
+    FROM found GROUP BY row_no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (row_no) LEFT JOIN ids USING (row_no)
+"""
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     path = public_tokenizers.path(TOKENIZER)
@@ -31,6 +73,9 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_bit_planes": op4_bit_planes,
+    "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_suffix_automaton": OP9_SQL,
+}
