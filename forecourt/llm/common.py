@@ -57,7 +57,7 @@ def open_output(uri: str):
     """A binary stream to a new file in a local, S3, GCS or HDFS folder."""
     system, path = _place(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

@@ -7,12 +7,36 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, lengths, planes, simhash
+from forecourt.llm import automaton, lengths, planes, simhash, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_round_trip(spark, corpus_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), r AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM p
+), t AS (
+    SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest
+              AND largest IS NOT NULL AS again
+    FROM r
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN largest END AS refers_to
+FROM t
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(corpus_table(spark, sf_dir, "documents"))
 
@@ -71,11 +95,13 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
     "op4_bit_planes": op4_bit_planes,
     "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
 }
 ORACLES: dict[str, str] = {
+    "op1_warc": OP1_SQL,
     "op9_suffix_automaton": OP9_SQL,
 }
