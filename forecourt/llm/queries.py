@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, lengths, planes, simhash, warc
+from forecourt.llm import automaton, langid, lengths, planes, simhash, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +46,11 @@ def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(spark, docs, public_tokenizers.path(TOKENIZER))
 
 
+def op6_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus_table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op9_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return automaton.overlap_report(docs, corpus_table(spark, sf_dir, "benchmark"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
     "op4_bit_planes": op4_bit_planes,
+    "op6_subword_language": op6_subword_language,
     "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
 }
