@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, langid, lengths, planes, simhash, warc
+from forecourt.llm import automaton, langid, lengths, mixing, planes, simhash, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(corpus_table(spark, sf_dir, "documents"))
 
 
+def op3_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(corpus_table(spark, sf_dir, "documents"))
+
+
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return planes.token_files(spark, docs, public_tokenizers.path(TOKENIZER))
@@ -102,6 +106,7 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op3_sainte_lague": op3_sainte_lague,
     "op4_bit_planes": op4_bit_planes,
     "op6_subword_language": op6_subword_language,
     "op9_suffix_automaton": op9_suffix_automaton,
