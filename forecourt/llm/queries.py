@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, langid, lengths, mixing, planes, simhash, warc
+from forecourt.llm import automaton, langid, lengths, mixing, planes, simhash, urls, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,80 @@ def op6_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op8_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judge(corpus_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict", "ratio")
+
+
+OP8_SQL = """
+WITH cut AS (
+    SELECT row_number() OVER () AS row_no, page_id, coalesce(url, '') AS key,
+           CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
+                ELSE '' END AS rest
+    FROM pages
+), rows_ AS (
+    SELECT row_no, page_id, key,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), rules(rule, domain, start, label) AS (
+    VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+           ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+           ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')
+), fits AS (
+    SELECT row_no, arg_max(rule, length(rule)) AS rule, arg_max(label, length(rule)) AS label
+    FROM rows_ JOIN rules
+      ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start)
+    GROUP BY row_no
+), urls AS (
+    SELECT key, label, CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % 5 AS fold, count(*) AS n
+    FROM rows_ LEFT JOIN fits USING (row_no) GROUP BY ALL
+), marked AS (
+    SELECT *, '^^' || regexp_replace(translate(key,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+        '[^a-z0:/.?#&=%_+\\-,;@!$''()*]', '~', 'g') || '|' AS t
+    FROM urls
+), places AS (
+    SELECT key, label, fold, n, substr(t, i, 3) AS gram
+    FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM marked)
+), grams AS (
+    SELECT gram, coalesce(sum(n) FILTER (label = 'allow' AND fold <> 0), 0) AS allowed,
+           coalesce(sum(n) FILTER (label = 'block' AND fold <> 0), 0) AS blocked
+    FROM places GROUP BY gram
+), models AS (
+    SELECT gram, kind, ln((n + 4.0::DOUBLE * (
+               (sum(n) OVER (PARTITION BY kind, substr(gram, 2, 2)) + 4.0::DOUBLE * (
+                   (sum(n) OVER (PARTITION BY kind, substr(gram, 3, 1)) + 4.0::DOUBLE / 49)
+                   / (sum(n) OVER (PARTITION BY kind) + 4.0::DOUBLE)))
+               / (sum(n) OVER (PARTITION BY kind, substr(gram, 2, 1)) + 4.0::DOUBLE)))
+           / (sum(n) OVER (PARTITION BY kind, substr(gram, 1, 2)) + 4.0::DOUBLE)) AS logp
+    FROM (SELECT gram, 'good' AS kind, CAST(allowed AS DOUBLE) AS n FROM grams
+          UNION ALL SELECT gram, 'bad', CAST(blocked AS DOUBLE) FROM grams)
+), learned AS (
+    SELECT coalesce(sum(allowed), 0) > 0 AND coalesce(sum(blocked), 0) > 0 AS ok FROM grams
+), weights AS (
+    SELECT gram, CASE WHEN ok THEN CAST(round((max(logp) FILTER (kind = 'good')
+        - max(logp) FILTER (kind = 'bad')) * 1000000) AS BIGINT) ELSE 0 END AS weight
+    FROM models, learned GROUP BY gram, ok
+), scores AS (
+    SELECT key, CAST(floor(CAST(sum(weight) AS DOUBLE) / (count(*) * 100)) AS BIGINT) AS ratio
+    FROM (SELECT DISTINCT key, t FROM marked) AS m,
+         unnest(range(1, length(t) - 1)) AS u(i) JOIN weights ON gram = substr(t, i, 3)
+    GROUP BY key
+), ranked AS (
+    SELECT ratio, sum(sum(n)) OVER (ORDER BY ratio) AS up_to, sum(sum(n)) OVER () AS total
+    FROM urls JOIN scores USING (key) WHERE label = 'allow' AND fold = 0 GROUP BY ratio
+), least AS (
+    SELECT coalesce(min(ratio), 0) AS least FROM ranked WHERE up_to > total * (1 - 0.95::DOUBLE)
+)
+SELECT page_id, host, path, rule,
+       coalesce(label, CASE WHEN NOT ok OR ratio >= least THEN 'allow' ELSE 'block' END)
+           AS verdict, ratio
+FROM rows_ LEFT JOIN fits USING (row_no) JOIN scores USING (key), least, learned
+"""
+
+
 def op9_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return automaton.overlap_report(docs, corpus_table(spark, sf_dir, "benchmark"))
@@ -109,10 +183,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sainte_lague": op3_sainte_lague,
     "op4_bit_planes": op4_bit_planes,
     "op6_subword_language": op6_subword_language,
+    "op8_url_models": op8_url_models,
     "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
 }
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op8_url_models": OP8_SQL,
     "op9_suffix_automaton": OP9_SQL,
 }
