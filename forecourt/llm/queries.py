@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, langid, lengths, mixing, planes, simhash, urls, warc
+from forecourt.llm import automaton, langid, lengths, linefreq, mixing, planes, simhash, urls, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -50,6 +50,61 @@ def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_files(spark, docs, public_tokenizers.path(TOKENIZER))
 
 
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linefreq.judge(corpus_table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = """
+WITH d AS (
+    SELECT row_number() OVER () AS row_no, doc_id, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM documents
+), wins AS (
+    SELECT row_no, i, w[i : i + 4] AS win
+    FROM (SELECT row_no, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+), twice AS (
+    SELECT row_no, i FROM (
+        SELECT row_no, i, count(*) OVER (PARTITION BY row_no, win) AS n FROM wins) WHERE n > 1
+), covered AS (
+    SELECT row_no, count(DISTINCT place) AS n_repeat_words
+    FROM (SELECT row_no, unnest(range(i, i + 5)) AS place FROM twice) GROUP BY row_no
+), lines AS (
+    SELECT row_no, source, text, translate(trim(regexp_replace(line,
+               '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')
+               AS line,
+           len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
+    FROM (SELECT row_no, source, text, unnest(lines) AS line FROM d)
+), hosts AS (
+    SELECT source, count(DISTINCT text) AS total FROM lines GROUP BY source
+), hot AS (
+    SELECT c.source, c.line FROM (
+        SELECT source, line, count(DISTINCT text) AS n FROM lines GROUP BY source, line) AS c
+    JOIN hosts AS h ON c.source IS NOT DISTINCT FROM h.source
+    WHERE c.n > 10 AND c.n > h.total * 0.05
+), lost AS (
+    SELECT row_no, CAST(sum(n) AS BIGINT) AS removed_words
+    FROM lines JOIN hot ON lines.line = hot.line AND lines.source IS NOT DISTINCT FROM hot.source
+    GROUP BY row_no
+), m AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT)
+               AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(removed_words, 0) AS removed_words,
+           len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
+    FROM d LEFT JOIN covered USING (row_no) LEFT JOIN lost USING (row_no)
+)
+SELECT *, NOT base_failed AND n_words - removed_words >= 10
+          AND n_words - removed_words >= n_words * 0.2 AS kept
+FROM m
+"""
+
+
 def op6_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus_table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
@@ -182,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_sainte_lague": op3_sainte_lague,
     "op4_bit_planes": op4_bit_planes,
+    "op5_line_frequency": op5_line_frequency,
     "op6_subword_language": op6_subword_language,
     "op8_url_models": op8_url_models,
     "op9_suffix_automaton": op9_suffix_automaton,
@@ -189,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op5_line_frequency": OP5_SQL,
     "op8_url_models": OP8_SQL,
     "op9_suffix_automaton": OP9_SQL,
 }
