@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, langid, lengths, linefreq, mixing, planes, simhash, urls, warc
+from forecourt.llm import automaton, langid, lengths, linefreq, logbilinear, mixing, planes, simhash, urls, warc
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -110,6 +110,10 @@ def op6_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logbilinear.scores(corpus_table(spark, sf_dir, "documents"))
+
+
 def op8_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = urls.judge(corpus_table(spark, sf_dir, "pages"))
     return found.select("page_id", "host", "path", "rule", "verdict", "ratio")
@@ -239,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bit_planes": op4_bit_planes,
     "op5_line_frequency": op5_line_frequency,
     "op6_subword_language": op6_subword_language,
+    "op7_log_bilinear": op7_log_bilinear,
     "op8_url_models": op8_url_models,
     "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
