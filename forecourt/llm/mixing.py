@@ -260,10 +260,10 @@ def _chosen_spans(
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of the mix: whole copies of texts, and one row for each part taken once more.
+    """The rows of the mix: whole copies of texts, and a row for what is taken once more.
 
-    The columns are those of ``docs``; ``text`` of a part runs from its first to
-    its last word, and ``n_chars``, where present, counts the new text. Rows of
+    The columns are those of ``docs``; the ``text`` of such a row has a line for
+    each run of words taken, and ``n_chars``, where present, counts it. Rows of
     which nothing is taken go.
     """
     plan = plan_mix(docs, **settings).filter("taken > 0").select(
@@ -294,7 +294,8 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
                     )
                 ):
                     found = [text] * passes
-                    found += cut_words(text, [(s["start"], s["stop"]) for s in spans])
+                    if spans:
+                        found.append(cut_words(text, [(s["start"], s["stop"]) for s in spans]))
                     places += [place] * len(found)
                     out += found
                 some = rows.take(pa.array(places, pa.int64()))
@@ -316,17 +317,15 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 _SPACES = bytes(32 if b == 32 or 9 <= b <= 13 else 0 for b in range(256))
 
 
-def cut_words(text: str, spans: list[tuple[int, int]]) -> list[str]:
-    """The text of each span of words; a span of all of them gives the whole text."""
-    if not spans:
-        return []
+def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """The words of the spans as they stand in the text, a line for each span."""
     data = text.encode()
     inside = np.frombuffer(data.translate(_SPACES), np.uint8) == 0
     edges = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if spans == [(0, len(starts))]:
-        return [text]
-    return [data[starts[a] : ends[b - 1]].decode() for a, b in spans]
+        return text
+    return "\n".join(data[starts[a] : ends[b - 1]].decode() for a, b in spans)
 
 
 def mix_report(docs: DataFrame, **settings) -> DataFrame:
