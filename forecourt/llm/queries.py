@@ -38,7 +38,8 @@ FROM t
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_copies(corpus_table(spark, sf_dir, "documents"))
+    found = simhash.near_copies(corpus_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op3_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,18 +38,21 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long, one row per row of ``docs``."""
+    """``doc_id, text_hash, fp``: the fingerprint as a signed long, a row per row of ``docs``."""
 
     def sketch(batches):
         for batch in batches:
             for rows in row_slices(batch, "__text"):
                 prints = [fingerprint(t, words) for t in rows.column("__text").to_pylist()]
                 signed = np.array(prints, np.uint64).view(np.int64)
-                yield pa.record_batch({"doc_id": rows.column("doc_id"), "fp": signed})
+                kept = {name: rows.column(name) for name in ("doc_id", "text_hash")}
+                yield pa.record_batch(kept | {"fp": pa.array(signed)})
 
     return docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("__text")
-    ).mapInArrow(sketch, "doc_id bigint, fp bigint")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.col("text").alias("__text"),
+    ).mapInArrow(sketch, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _block_keys(fp: Column, max_distance: int, n_blocks: int) -> Column:
@@ -152,7 +155,7 @@ def near_copies(
     n_blocks: int = N_BLOCKS,
     crowded: int = CROWDED,
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: one row per row of ``docs``.
+    """``doc_id, fingerprint, component_id, text_hash``: one row per row of ``docs``.
 
     ``fingerprint`` is 16 hex digits, ``component_id`` the least ``doc_id`` that
     can be reached over links of at most ``max_distance`` differing bits. A null
@@ -182,6 +185,7 @@ def near_copies(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "text_hash",
     )
 
 
@@ -189,10 +193,15 @@ def one_per_component(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without their near copies: of each component the least id stays.
 
     Repeated rows of that id with the same text count as copies too: one of them
-    stays. Rows without an id stay only if their component has no id at all.
+    stays. Rows without an id stay only if their component has no id at all, and
+    of equal texts among them one.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("none")).alias("__key")
+
+    def key(text_hash: Column) -> Column:
+        named = F.col("doc_id").cast("bigint").cast("string")
+        return F.coalesce(named, F.concat(F.lit("text "), text_hash)).alias("__key")
+
     kept = near_copies(docs, **settings).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = cut_lineage(kept.select(key).distinct())
-    rows = docs.select("*", key).join(keep, "__key", "left_semi")
+    keep = cut_lineage(kept.select(key(F.col("text_hash"))).distinct())
+    rows = docs.select("*", key(F.xxhash64("text"))).join(keep, "__key", "left_semi")
     return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)
