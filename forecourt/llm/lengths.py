@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import row_slices
+from forecourt.llm.common import cut_lineage, row_slices
 from forecourt.llm.tokenizing import encoder
 
 END_TOKENS = 1
-BUCKET = 1024
+BUCKET = 64
 
 
 def length_histogram(
@@ -52,9 +52,10 @@ def suffix_sums(histogram: DataFrame, bucket: int = BUCKET) -> DataFrame:
     all documents, so the q-quantile is the least L with a share of q or more.
 
     Sums run inside buckets of ``bucket`` lengths and over the bucket totals, so
-    no task holds the whole histogram, whatever the longest document.
+    no task holds the whole histogram, whatever the longest document. The
+    histogram is written first, since it is read for both.
     """
-    rows = histogram.select(
+    rows = cut_lineage(histogram).select(
         "n_tokens",
         "n_docs",
         (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
