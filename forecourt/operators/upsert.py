@@ -14,7 +14,6 @@ from forecourt.operators.joins import spread_null_key
 from forecourt.schemas import KEYS
 from forecourt.sources.tables import (
     PARTITION,
-    drop_partitions,
     partition_value,
     read_partitions,
     read_version,
@@ -84,15 +83,20 @@ def upsert_version(
     guard: Sequence[str] = (),
     verify_keys: bool = True,
 ) -> None:
-    """Upsert into an unpartitioned table: the result is written as its next version."""
+    """Upsert into an unpartitioned table: the result is written as its next version.
+
+    The batch is written once to the shared folder, as it is used several times.
+    """
     key = KEYS[table]
-    if verify_keys:
-        require_unique_keys(source, key)
     target = read_version(spark, root, table)
-    if target is None:
-        write_version(source.filter(F.col(key).isNotNull()), root)
+    batch = source.filter(F.col(key).isNotNull())
+    if target is None and not verify_keys:
+        write_version(batch, root)
         return
-    write_version(merge_rows(target, source, key, guard), root)
+    batch = cut_lineage(batch)
+    if verify_keys:
+        require_unique_keys(batch, key)
+    write_version(batch if target is None else merge_rows(target, batch, key, guard), root)
 
 
 def touched_partitions(
@@ -114,66 +118,55 @@ def upsert_partitions(
     by_month: bool,
     guard: Sequence[str] = (),
     verify_keys: bool = True,
+    mark: str | None = None,
 ) -> list[str]:
     """Upsert into a partitioned table, rewriting touched partitions only.
 
     Returns the touched partitions. A row whose date moved leaves its old
-    partition; a partition left without rows is removed at the end, and a run
-    repeated after a crash in between finds and removes it too.
+    partition, and a partition left without rows is gone. All of it becomes
+    visible in one commit, with ``mark`` for what has been read; a run that dies
+    before changes nothing and can be repeated.
     """
     key = KEYS[table]
     value = partition_value(column, by_month)
-    # Written once: the batch is used several times, also after the target changed.
+    # Written once: the batch is used several times.
     batch = cut_lineage(source.filter(F.col(key).isNotNull()))
     if verify_keys:
         require_unique_keys(batch, key)
     target = read_partitions(spark, root, table)
     if target is None:
-        write_partitions(batch, root, value)
+        write_partitions(batch, root, value, mark=mark)
         return []
     if guard:
         batch = cut_lineage(drop_stale(batch, target, key, guard))
     # One value per month or day: as many as there are folders, never per row.
     touched = [r[0] for r in touched_partitions(target, batch, key, column, by_month).collect()]
-    if not touched:
+    if not touched and mark is None:
         return []
     inside = target.filter(F.col(PARTITION).isin(touched)).drop(PARTITION)
-    write_partitions(merge_rows(inside, batch, key), root, value)
-    emptied = emptied_partitions(spark, root, table, batch, value, touched)
-    drop_partitions(spark, root, emptied)
+    write_partitions(merge_rows(inside, batch, key), root, value, touched, mark)
     return touched
 
 
-def emptied_partitions(
-    spark: SparkSession,
-    root: str,
+def merge_into_catalog(
+    source: DataFrame,
     table: str,
-    batch: DataFrame,
-    value: Column,
-    touched: Sequence[str],
-) -> list[str]:
-    """Touched partitions all of whose rows moved elsewhere.
+    key: str,
+    guard: Sequence[str] = (),
+    drop_null_keys: bool = True,
+) -> None:
+    """The same upsert on a catalog that supports MERGE.
 
-    Dynamic overwrite leaves such a folder as it was; its rows then carry keys of
-    the batch that now lie in another partition, and nothing else.
+    As with ``merge_rows``, rows with a NULL key are dropped unless
+    ``drop_null_keys`` is off, and a row older by ``guard`` does not replace a
+    newer one, a NULL counting as oldest.
     """
-    key = KEYS[table]
-    now = read_partitions(spark, root, table).filter(F.col(PARTITION).isin(list(touched)))
-    home = batch.select(F.col(key).alias("__key"), value.alias("__home"))
-    moved = F.col("__key").isNotNull() & (F.col("__home") != F.col(PARTITION))
-    rows = now.select(key, PARTITION).join(home, F.col(key) == F.col("__key"), "left")
-    emptied = rows.groupBy(PARTITION).agg(F.bool_and(moved).alias("emptied"))
-    return [r[0] for r in emptied.filter("emptied").collect()]
-
-
-def merge_into_catalog(source: DataFrame, table: str, key: str) -> None:
-    """The same upsert on a catalog that supports MERGE."""
-    (
-        source.alias("source")
-        .mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+    batch = source.filter(F.col(key).isNotNull()) if drop_null_keys else source
+    merge = batch.alias("source").mergeInto(table, F.col(f"{table}.{key}") == F.col(f"source.{key}"))
+    if guard:
+        have = F.struct(*[F.col(f"{table}.{c}") for c in guard])
+        offer = F.struct(*[F.col(f"source.{c}") for c in guard])
+        matched = merge.whenMatched(have <= offer)
+    else:
+        matched = merge.whenMatched()
+    matched.updateAll().whenNotMatched().insertAll().merge()

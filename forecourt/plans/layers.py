@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,8 @@ from forecourt.operators.upsert import upsert_partitions, upsert_version
 from forecourt.plans import dimensions, facts, intermediate, marts, quality
 from forecourt.plans.staging import STAGES, StageSpec, stage
 from forecourt.schemas import TABLES, schema_of
-from forecourt.sources.raw import RAW_FOLDERS, RAW_READERS, partition_values
-from forecourt.sources.tables import read_partitions, read_version
+from forecourt.sources.raw import LINES_FILES, RAW_FOLDERS, RAW_READERS, partition_values
+from forecourt.sources.tables import read_manifest, read_partitions, read_version
 
 RAW_NAMES = {
     "raw_marketplace_vehicles": "stg_marketplace_vehicles",
@@ -57,7 +57,13 @@ class Lake:
     def tables(self, prefix: str) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in TABLES if t.startswith(prefix)}
 
-    def upsert(self, table: str, rows: DataFrame, guard: tuple[str, ...] = ()) -> None:
+    def upsert(
+        self,
+        table: str,
+        rows: DataFrame,
+        guard: tuple[str, ...] = (),
+        mark: str | None = None,
+    ) -> None:
         """Upsert rows that are unique by construction: staged rows are the latest of their
         key, later tables hang on keys that the staging gate has found unique."""
         spec = STAGES.get(table)
@@ -72,6 +78,7 @@ class Lake:
                 by_month,
                 guard,
                 verify_keys=False,
+                mark=mark,
             )
         else:
             upsert_version(
@@ -99,12 +106,14 @@ def stage_table(
 
 
 def event_range(lake: Lake, lookback_days: int) -> tuple[date, date] | None:
-    """Days of events to stage, from folder names and the target's last day."""
+    """Days of events to stage, from folder names and the day up to which the last commit read."""
     table = "stg_engagement_events"
-    days = partition_values(lake.spark, lake.raw_path(table), "event_date")
+    days = partition_values(lake.spark, lake.raw_path(table), "event_date", LINES_FILES)
     as_day = F.col("event_date").try_cast("date")
     first, last = days.agg(F.min(as_day), F.max(as_day)).first()
-    staged_last = lake.table(table).agg(F.max("event_date")).first()[0]
+    committed = read_manifest(lake.spark, lake.path(table))
+    mark = committed["mark"] if committed else None
+    staged_last = date.fromisoformat(mark) if mark else None
     return resume_range(first, last, staged_last, lookback_days)
 
 
@@ -126,7 +135,8 @@ def stage_events(
         windows = [(windows[0][0], windows[-1][1])]
     for start, end in windows:
         rows = stage(spec, lake.raw(spec.table), in_window("event_date", start, end), at)
-        lake.upsert(spec.table, rows, _guard(spec) if guarded else ())
+        read_to = (end - timedelta(days=1)).isoformat()
+        lake.upsert(spec.table, rows, _guard(spec) if guarded else (), read_to)
 
 
 def intermediate_models(t: Callable[[str], DataFrame], at: str | None) -> Mapping[str, Callable]:

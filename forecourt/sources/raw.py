@@ -118,12 +118,14 @@ def read_relational(
     )
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """Values a path partition takes, from the file listing; no file content is read."""
+def partition_values(
+    spark: SparkSession, path: str, column: str, files: str = "*"
+) -> DataFrame:
+    """Values a path partition takes, from the listing of matching files, none of which is read."""
     # The schema is given so that values are not taken for dates or numbers.
     listed = "path string, modificationTime timestamp, length bigint, content binary"
-    files = spark.read.format("binaryFile").schema(f"{listed}, `{column}` string").load(path)
-    return files.select(column).distinct()
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", files)
+    return reader.schema(f"{listed}, `{column}` string").load(path).select(column).distinct()
 
 
 RAW_READERS = {

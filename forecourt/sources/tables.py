@@ -5,8 +5,9 @@ Two layouts, both safe against a job that dies half way:
 * unpartitioned tables keep whole versions side by side (``version=N``); a version
   counts once Spark's committer has put ``_SUCCESS`` into it, so readers see the
   old one until the new one is complete;
-* partitioned tables are rewritten partition by partition (dynamic overwrite),
-  staged aside by Spark and moved in on commit.
+* partitioned tables write the partitions they replace into a folder of the commit
+  (``commit=N/part=…``) and then publish, by one rename, a small file that names
+  the folder of every partition; readers open exactly the folders it names.
 
 On a catalog with row-level operations (Iceberg, Delta) use
 ``operators.upsert.merge_into_catalog`` instead.
@@ -14,10 +15,13 @@ On a catalog with row-level operations (Iceberg, Delta) use
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Iterable, Mapping
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from forecourt.schemas import schema_of
 
@@ -79,30 +83,117 @@ def partition_value(column: str, by_month: bool) -> Column:
     return F.coalesce(value.cast("string"), F.lit("none"))
 
 
-def write_partitions(df: DataFrame, root: str, value: Column) -> None:
-    """Replace those partitions that the frame has rows for, and only those.
+def _manifests(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the published commits of a partitioned table, oldest first."""
+    fs, jpath = _fs(spark, f"{root}/_commits")
+    if not fs.exists(jpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jpath)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n[0] not in "._")
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> dict:
+    fs, jpath = _fs(spark, f"{root}/_commits/{number:012d}.json")
+    stream = fs.open(jpath)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def read_manifest(spark: SparkSession, root: str) -> dict | None:
+    """The newest published commit: ``parts`` (partition to commit number) and ``mark``."""
+    numbers = _manifests(spark, root)
+    return {"number": numbers[-1], **_manifest(spark, root, numbers[-1])} if numbers else None
+
+
+def publish(
+    spark: SparkSession, root: str, number: int, parts: Mapping[str, int], mark: str | None
+) -> None:
+    """Make a commit visible by one rename of a small file; fails if its number is taken."""
+    fs, target = _fs(spark, f"{root}/_commits/{number:012d}.json")
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_commits/.{number:012d}.{uuid4().hex}")
+    text = json.dumps({"parts": dict(parts), "mark": mark}, sort_keys=True)
+    stream = fs.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(aside, target):
+        fs.delete(aside, False)
+        raise RuntimeError(f"commit {number} of {root} was published by another run")
+
+
+def write_partitions(
+    df: DataFrame,
+    root: str,
+    value: Column,
+    replace: Iterable[str] | None = None,
+    mark: str | None = None,
+) -> None:
+    """Replace partitions in one commit: all those in ``replace``, or those with new rows.
+
+    Rows go to a folder of their own (``commit=N/part=…``), which no reader knows
+    until the commit is published; before that the table is as it was, and a
+    write that died leaves a folder that is never read. A partition in ``replace``
+    that gets no rows is gone. ``mark`` is kept with the commit (the last one
+    stays if it is None), so that a resume rule can't run ahead of the data.
 
     The rebalance hint gathers the rows of a partition and lets AQE cut a
     partition that holds much of the data into several tasks and files.
     """
-    (
-        df.withColumn(PARTITION, value)
-        .hint("rebalance", PARTITION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(root)
-    )
+    spark = df.sparkSession
+    last = read_manifest(spark, root) or {"number": 0, "parts": {}, "mark": None}
+    tried = [int(n.split("=", 1)[1]) for n in child_folders(spark, root) if n.startswith("commit=")]
+    number = max([last["number"], *tried]) + 1
+    folder = f"{root}/commit={number}"
+    df.withColumn(PARTITION, value).hint("rebalance", PARTITION).write.partitionBy(
+        PARTITION
+    ).parquet(folder)
+    written = [
+        n.split("=", 1)[1]
+        for n in child_folders(spark, folder)
+        if n.startswith(f"{PARTITION}=")
+    ]
+    gone = set(written if replace is None else replace)
+    parts = {p: c for p, c in last["parts"].items() if p not in gone}
+    parts |= dict.fromkeys(written, number)
+    publish(spark, root, number, parts, last["mark"] if mark is None else mark)
+    _remove_unread(spark, root)
+
+
+def _remove_unread(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove partitions that only commits before the last ``keep`` refer to, and those commits."""
+    numbers = _manifests(spark, root)
+    used = {
+        (part, commit)
+        for n in numbers[-keep:]
+        for part, commit in _manifest(spark, root, n)["parts"].items()
+    }
+    for n in numbers[:-keep]:
+        for part, commit in _manifest(spark, root, n)["parts"].items():
+            if (part, commit) not in used:
+                remove_folder(spark, f"{root}/commit={commit}/{PARTITION}={part}")
+        remove_folder(spark, f"{root}/_commits/{n:012d}.json")
+
+
+def partition_folders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of each partition in the newest commit."""
+    found = read_manifest(spark, root)
+    return {
+        part: f"{root}/commit={commit}/{PARTITION}={part}"
+        for part, commit in (found["parts"] if found else {}).items()
+    }
 
 
 def read_partitions(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """A partitioned table with its partition column; None before the first write."""
-    if not any(n.startswith(f"{PARTITION}=") for n in child_folders(spark, root)):
-        return None
-    schema = schema_of(table).add(PARTITION, "string")
-    return spark.read.schema(schema).parquet(root)
+    """A partitioned table with its partition column; None before the first rows.
 
-
-def drop_partitions(spark: SparkSession, root: str, values: Iterable[str]) -> None:
-    for value in values:
-        remove_folder(spark, f"{root}/{PARTITION}={value}")
+    Only folders named by the newest commit are opened.
+    """
+    folders = partition_folders(spark, root)
+    if not folders:
+        return None
+    schema = schema_of(table).add(PARTITION, "string").add("commit", IntegerType())
+    rows = spark.read.schema(schema).option("basePath", root).parquet(*folders.values())
+    return rows.drop("commit")

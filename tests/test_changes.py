@@ -125,13 +125,11 @@ def put(spark, folder, *records, **kw):
 
 
 def test_partitions_touched_only(spark, folder):
-    import os
-
     put(spark, folder, invoice("a", date(2024, 1, 5)), invoice("b", date(2024, 2, 5)))
-    before = set(os.listdir(f"{folder}/part=2024-01-01"))
+    before = tables.partition_folders(spark, folder)["2024-01-01"]
     touched = put(spark, folder, invoice("b", date(2024, 2, 9), "OPEN"), invoice("c", date(2024, 3, 1)))
     assert sorted(touched) == ["2024-02-01", "2024-03-01"]
-    assert set(os.listdir(f"{folder}/part=2024-01-01")) == before
+    assert tables.partition_folders(spark, folder)["2024-01-01"] == before
     assert stored(spark, folder) == [
         ("a", "PAID", "2024-01-01"),
         ("b", "OPEN", "2024-02-01"),
@@ -152,14 +150,40 @@ def test_moved_rows_leave_their_partition(spark, folder):
     assert stored(spark, folder) == expected
 
 
-def test_repeat_after_a_crash_removes_leftovers(spark, folder, monkeypatch):
-    put(spark, folder, invoice("a", date(2024, 1, 5)))
+def test_a_write_that_dies_changes_nothing(spark, folder, monkeypatch):
+    put(spark, folder, invoice("a", date(2024, 1, 5)), invoice("b", date(2024, 1, 6)))
+    before = stored(spark, folder)
+
+    def die(*_):
+        raise OSError("lost")
+
     with monkeypatch.context() as m:
-        m.setattr(upsert, "drop_partitions", lambda *_: None)
-        put(spark, folder, invoice("a", date(2024, 2, 5)))
-    assert len(stored(spark, folder)) == 2
-    put(spark, folder, invoice("a", date(2024, 2, 5)))
-    assert stored(spark, folder) == [("a", "PAID", "2024-02-01")]
+        m.setattr(tables, "publish", die)
+        with pytest.raises(OSError):
+            put(spark, folder, invoice("a", date(2024, 2, 5)), mark="2024-02-05")
+    assert stored(spark, folder) == before
+    assert tables.read_manifest(spark, folder)["mark"] is None
+    put(spark, folder, invoice("a", date(2024, 2, 5)), mark="2024-02-05")
+    assert stored(spark, folder) == [("a", "PAID", "2024-02-01"), ("b", "PAID", "2024-01-01")]
+    assert tables.read_manifest(spark, folder)["mark"] == "2024-02-05"
+
+
+def test_a_commit_number_is_published_once(spark, folder):
+    put(spark, folder, invoice("a", date(2024, 1, 5)))
+    with pytest.raises(RuntimeError, match="another run"):
+        tables.publish(spark, folder, 1, {}, None)
+    assert len(stored(spark, folder)) == 1
+
+
+def test_old_commits_are_removed(spark, folder):
+    import os
+
+    for day in range(1, 6):
+        put(spark, folder, invoice("a", date(2024, 1, day)), invoice(f"n{day}", date(2024, day, 1)))
+    assert sorted(os.listdir(f"{folder}/_commits"))[-2:] == ["000000000004.json", "000000000005.json"]
+    assert len(stored(spark, folder)) == 6
+    left = [d for d, _, files in os.walk(folder) if any(f.endswith(".parquet") for f in files)]
+    assert len(left) == 6
 
 
 def test_guarded_partitions(spark, folder):
