@@ -245,6 +245,41 @@ def _(m: LensModels) -> DataFrame:
     )
 
 
+@case(
+    "repeat_landing",
+    """SELECT 'contracts' AS dataset, 2 AS runs, count(*) AS landed FROM contracts
+       UNION ALL SELECT 'accounts', 1, count(*) FROM accounts
+       UNION ALL SELECT 'vehicles', 1, count(*) FROM vehicles""",
+    "contracts", "accounts", "vehicles",
+)
+def _(m: LensModels) -> DataFrame:
+    # Every run is repeated with its own run id: an incremental extract in two runs, pages,
+    # and a snapshot. All rows stay, and each run has one manifest row.
+    side = scratch_path(m.spark, "side")
+    manifests, marks = f"{side}/manifests", f"{side}/marks"
+    roots = {name: scratch_path(m.spark, name) for name in ("contracts", "accounts", "vehicles")}
+    early = m.contracts.filter(F.col("updated_at") < "1998-01-01")
+    for rows, run in ((early, "run-1"), (early, "run-1"), (m.contracts, "r 2"), (m.contracts, "r 2")):
+        landing.incremental_extract(
+            rows, roots["contracts"], "contracts", DAY, run, manifests, marks
+        )
+    for _again in range(2):
+        landing.land_pages(
+            m.accounts, roots["accounts"], "accounts", DAY, RUN, manifests, marks, ["dealer_id"]
+        )
+        landing.snapshot_extract(m.vehicles, roots["vehicles"], "vehicles", DAY, RUN, manifests)
+    pages = m.spark.read.schema("value string").text(roots["accounts"])
+    records = F.from_json("value", "data array<string>").data
+    counts = {
+        "contracts": m.spark.read.schema("value string").text(roots["contracts"]).count(),
+        "accounts": pages.agg(F.sum(F.size(records))).first()[0],
+        "vehicles": m.spark.read.schema("value string").text(roots["vehicles"]).count(),
+    }
+    found = m.spark.createDataFrame(list(counts.items()), "dataset string, landed long")
+    runs = manifest_rows(m, manifests).groupBy("dataset").agg(F.count(F.lit(1)).cast("int").alias("runs"))
+    return runs.join(found, "dataset")
+
+
 @case("land_new_partitions", _EVENTS_PER_DAY, "events_view")
 def _(m: LensModels) -> DataFrame:
     # The second delivery repeats days landed before, with other content.

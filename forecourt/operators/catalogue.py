@@ -19,10 +19,10 @@ def in_catalogue(
     product_id: str | None = None,
     dealer_segment: str | None = None,
 ) -> DataFrame:
-    """Equality on each argument given; arguments are upper-cased, columns are not."""
+    """Equality on each argument given and not empty; arguments are upper-cased, columns are not."""
     wanted = {"market": market, "product_id": product_id, "dealer_segment": dealer_segment}
     for column, value in wanted.items():
-        if value is not None:
+        if value:
             df = df.filter(F.col(column) == F.upper(F.lit(value)))
     return df
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +43,16 @@ def read_watermark(spark: SparkSession, control: str, dataset: str) -> str | Non
     return found.first()[0]
 
 
+def utc_now() -> datetime:
+    """The time in UTC without a zone, as marks carry it; local clocks go back once a year."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def commit_watermark(
     spark: SparkSession, control: str, dataset: str, watermark: str, at: datetime | None = None
 ) -> None:
     """Persist a mark; call it only when data and manifest of the run are written."""
-    row = [(dataset, watermark, at or datetime.now())]
+    row = [(dataset, watermark, at or utc_now())]
     spark.createDataFrame(row, CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(control)
 
 

@@ -8,18 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from forecourt.schemas import KEYS
+
 _SPREAD = 4096
 
 
-def spread_null_key(df: DataFrame, key: str) -> Column:
+def spread_null_key(df: DataFrame, key: str, spread_by: str | None = None) -> Column:
     """Join key in which NULLs take many different values that mean nothing.
 
     Rows with a NULL key find no partner, yet would all be hashed to one task;
-    this sends them to as many as there are.
+    this sends them to as many as there are. The values come from one column
+    only, so that the scan below reads no more than is asked for: ``spread_by``,
+    else the frame's primary key, else its first other column.
     """
-    filler = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_SPREAD))
-    )
+    if spread_by is None:
+        others = [c for c in df.columns if c != key] or [key]
+        keys = set(KEYS.values())
+        spread_by = next((c for c in others if c in keys), others[0])
+    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(_SPREAD)))
     return F.coalesce(F.col(key), filler)
 
 
@@ -28,12 +34,14 @@ def lookup(
     right: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Left equi join that adds the ``take`` columns (new name: right-hand name).
 
     ``on`` maps left keys to right keys; a NULL key matches nothing. Whether the
     right side is broadcast is left to Spark, which knows its size at run time;
-    hot keys of a shuffled join are split by AQE, NULL keys are spread here.
+    hot keys of a shuffled join are split by AQE, NULL keys are spread here (by
+    ``spread_by``, see ``spread_null_key``).
     """
     right_side = right.select(
         *[F.col(r).alias(f"__key{i}") for i, r in enumerate(on.values())],
@@ -43,7 +51,7 @@ def lookup(
     condition: Column | None = None
     for i, name in enumerate(on):
         if len(on) == 1 and isinstance(left.schema[name].dataType, StringType):
-            keyed = keyed.withColumn(f"__left{i}", spread_null_key(left, name))
+            keyed = keyed.withColumn(f"__left{i}", spread_null_key(left, name, spread_by))
             clause = (F.col(f"__left{i}") == F.col(f"__key{i}")) & F.col(name).isNotNull()
         else:
             clause = F.col(name) == F.col(f"__key{i}")

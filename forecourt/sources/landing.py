@@ -1,8 +1,9 @@
 """Landing: source rows to raw files, each run under its own folder.
 
 Order of commits: data, then the manifest row, then the watermark. A run that
-dies leaves the watermark where it was, and its repetition writes the same
-folders again.
+dies before its manifest row is repeated from the same watermark and writes the
+same folders again. A run that has its row is finished: a repetition returns its
+folder, touches no file, and only commits its watermark if that is missing.
 """
 
 from __future__ import annotations
@@ -10,16 +11,18 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions.keys import path_safe_run_id
 from forecourt.operators.incremental import (
+    CONTROL_SCHEMA,
     changed_between,
     changed_since,
     commit_watermark,
     high_watermark,
     read_watermark,
+    utc_now,
 )
 from forecourt.operators.paging import paged_envelopes
 from forecourt.sources.raw import LINES_FILES, partition_values
@@ -81,6 +84,31 @@ def write_manifest(spark: SparkSession, path: str, **values: object) -> None:
     spark.createDataFrame(row, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def finished_run(
+    spark: SparkSession, path: str, dataset: str, extract_date: str, run_id: str
+) -> Row | None:
+    """The manifest row of a run that has landed; None if it has not."""
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    found = rows.filter(
+        (F.col("dataset") == dataset)
+        & (F.col("extract_date") == extract_date)
+        & (F.col("run_id") == safe_run_id(spark, run_id))
+    )
+    return found.first()
+
+
+def _finish_again(spark: SparkSession, control: str, run: Row) -> None:
+    """Commit the mark of a run that died between its manifest row and its mark."""
+    marks = spark.createDataFrame([], CONTROL_SCHEMA)
+    if path_exists(spark, control):
+        marks = spark.read.schema(CONTROL_SCHEMA).parquet(control)
+    known = (F.col("dataset") == run["dataset"]) & (F.col("watermark") == run["new_watermark"])
+    if marks.filter(known).isEmpty():
+        commit_watermark(spark, control, run["dataset"], run["new_watermark"])
+
+
 def _lines_landed(spark: SparkSession, folder: str) -> tuple[int, int]:
     """Rows and files of a landed folder."""
     files = F.count_distinct(F.col("_metadata.file_path"))
@@ -94,6 +122,8 @@ def snapshot_extract(
     """Land a whole source table; returns the run's folder."""
     spark = df.sparkSession
     folder = run_folder(spark, root, extract_date, run_id)
+    if finished_run(spark, manifests, dataset, extract_date, run_id) is not None:
+        return folder
     land_json_lines(df, folder)
     records, parts = _lines_landed(spark, folder)
     write_manifest(
@@ -119,8 +149,16 @@ def incremental_extract(
     control: str,
     changed: str = "updated_at",
 ) -> str | None:
-    """Land the rows changed since the last run; None if the source is empty."""
+    """Land the rows changed since the last run; None if the source is empty.
+
+    ``df`` may be any reader's frame: the window of change times is a plain
+    comparison, so a relational source gets it with its query.
+    """
     spark = df.sparkSession
+    done = finished_run(spark, manifests, dataset, extract_date, run_id)
+    if done is not None:
+        _finish_again(spark, control, done)
+        return run_folder(spark, root, extract_date, run_id)
     low = read_watermark(spark, control, dataset)
     high = high_watermark(df, changed)
     if high is None:
@@ -161,12 +199,16 @@ def land_pages(
 ) -> str:
     """Land a source as JSON pages, one page per line.
 
-    The mark is the time at which the run began, taken before the source is read.
+    The mark is the time (UTC) at which the run began, taken before the source is read.
     """
     spark = df.sparkSession
-    started_at = started_at or datetime.now()
-    low = read_watermark(spark, control, dataset)
+    started_at = started_at or utc_now()
     folder = run_folder(spark, root, extract_date, run_id)
+    done = finished_run(spark, manifests, dataset, extract_date, run_id)
+    if done is not None:
+        _finish_again(spark, control, done)
+        return folder
+    low = read_watermark(spark, control, dataset)
     rows = changed_since(df, changed, low)
     encoded = rows.select(*[json_value(rows, c) for c in rows.columns])
     pages = paged_envelopes(encoded, order, page_size)
@@ -192,8 +234,12 @@ def land_pages(
 
 
 def new_days(spark: SparkSession, source: str, landed: str) -> list[str]:
-    """Well-formed day folders of the source that no finished run has landed."""
-    days = partition_values(spark, source, "event_date")
+    """Well-formed day folders of the source, with files of lines, that no run has landed.
+
+    The files are those that would be copied, so a day that so far has none of
+    them stays open.
+    """
+    days = partition_values(spark, source, "event_date", LINES_FILES)
     days = days.filter(F.col("event_date").rlike(DAY_FORM))
     if path_exists(spark, landed):
         done = spark.read.schema("event_date string").parquet(landed)
@@ -202,14 +248,25 @@ def new_days(spark: SparkSession, source: str, landed: str) -> list[str]:
     return sorted(r[0] for r in days.collect())
 
 
-def land_new_days(spark: SparkSession, source: str, target: str, landed: str) -> list[str]:
+def land_new_days(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    landed: str,
+    manifests: str | None = None,
+    run_id: str = "",
+) -> list[str]:
     """Copy event days not landed yet, line by line as they are.
 
     A day counts as landed once its row stands in the ledger, which is written
     last; a half-copied day is overwritten by the next run. Days landed before
-    stay as they are, even if their source changed.
+    stay as they are, even if their source changed. With ``manifests``, each day
+    folder gets a row there: copied, skipped (landed before) or invalid (its name
+    is no day, or it has no file of lines).
     """
     days = new_days(spark, source, landed)
+    if manifests is not None:
+        _note_days(spark, source, landed, days, manifests, run_id)
     if not days:
         return []
     lines = (
@@ -231,22 +288,66 @@ def land_new_days(spark: SparkSession, source: str, target: str, landed: str) ->
     return days
 
 
+def _note_days(
+    spark: SparkSession, source: str, landed: str, days: list[str], manifests: str, run_id: str
+) -> None:
+    everything = partition_values(spark, source, "event_date")
+    copied = F.col("event_date").isin(days)
+    known = spark.createDataFrame([], "event_date string")
+    if path_exists(spark, landed):
+        known = spark.read.schema("event_date string").parquet(landed)
+    before = known.select(F.col("event_date").alias("known")).distinct()
+    modes = everything.join(before, F.col("event_date") == F.col("known"), "left").select(
+        F.lit("engagement_events").alias("dataset"),
+        F.when(copied, "copied")
+        .when(F.col("known").isNotNull(), "skipped")
+        .otherwise("invalid")
+        .alias("mode"),
+        F.col("event_date").alias("extract_date"),
+        F.lit(run_id).alias("run_id"),
+    )
+    _append_manifests(modes, manifests)
+
+
+def _append_manifests(rows: DataFrame, path: str) -> None:
+    """Manifest rows from a frame that has some of their columns."""
+    typed = [part.split() for part in MANIFEST_SCHEMA.split(", ")]
+    rows.select(
+        *[
+            (F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in typed
+        ]
+    ).coalesce(1).write.mode("append").parquet(path)
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """Whole files with the SHA-256 of their bytes (small files only)."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", "content", F.sha2("content", 256).alias("sha256"))
 
 
-def land_by_content(spark: SparkSession, path: str, target: str) -> DataFrame:
+def land_by_content(
+    spark: SparkSession, path: str, target: str, manifests: str | None = None, run_id: str = ""
+) -> DataFrame:
     """Land files under their digest; content landed before is not written again.
 
-    Returns the digests found at ``path``, one row per different content.
+    Returns the digests found at ``path``, one row per different content. With
+    ``manifests``, each of them gets a row there: copied, or skipped.
     """
     found = file_digests(spark, path).dropDuplicates(["sha256"])
     fresh = found
     if path_exists(spark, target):
         known = partition_values(spark, target, "sha256")
         fresh = found.join(known, "sha256", "left_anti")
+    if manifests is not None:
+        copied = fresh.select(F.col("sha256").alias("new"))
+        noted = found.join(copied, F.col("sha256") == F.col("new"), "left").select(
+            F.lit("sales_targets").alias("dataset"),
+            F.when(F.col("new").isNull(), "skipped").otherwise("copied").alias("mode"),
+            F.lit(run_id).alias("run_id"),
+            "sha256",
+        )
+        _append_manifests(noted, manifests)
     (
         fresh.select(F.decode("content", "UTF-8").alias("value"), "sha256")
         .write.mode("append")

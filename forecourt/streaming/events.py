@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +14,7 @@ from forecourt.operators.upsert import upsert_partitions
 from forecourt.plans.staging import STAGES, stage
 from forecourt.schemas import RAW_EVENTS
 from forecourt.sources.raw import LINES_FILES, either_name, with_source_file
+from forecourt.sources.tables import child_folders
 
 SPEC = STAGES["stg_engagement_events"]
 
@@ -30,18 +35,41 @@ def read_event_stream(
     return either_name(with_source_file(reader.json(path)), "event_timestamp", "timestamp")
 
 
-def drop_repeats(raw: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Drop rows repeated within the delay; the state kept is bounded by it.
+def append_once(
+    raw: DataFrame,
+    out: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("event_id", "event_timestamp"),
+) -> StreamingQuery:
+    """Append each event to ``out`` the first time it comes, then stop when all is read.
 
-    Only repeats of the same event at the same time go; another version of an
-    event passes and is settled by the keyed upsert, which also covers repeats
-    that come later than the delay.
+    There is no watermark, so an event counts as new however late it is; repeats
+    are looked for among the keys of all earlier batches, of which only these
+    columns are read. Rows with a NULL in a key are told apart like others. A
+    micro-batch owns one folder, which a repetition writes again from the same
+    files, so a crash neither loses nor doubles rows.
     """
-    seen = raw.withColumn("__at", F.col("event_timestamp").try_cast("timestamp"))
+    spark = raw.sparkSession
+
+    def append(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(list(keys))
+        earlier = [
+            f"{out}/{name}"
+            for name in child_folders(spark, out)
+            if name.startswith("batch=") and int(name.split("=", 1)[1]) < number
+        ]
+        if earlier:
+            seen = spark.read.schema(batch.schema).parquet(*earlier)
+            seen = seen.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+            fresh = fresh.join(seen, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
     return (
-        seen.withWatermark("__at", delay)
-        .dropDuplicatesWithinWatermark(["event_id", "__at"])
-        .drop("__at")
+        raw.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
 
 

@@ -76,6 +76,43 @@ def test_watermark_stays_when_landing_fails(spark, folder, monkeypatch):
     assert incremental.read_watermark(spark, f"{folder}/w", "d") == "2024-01-01 00:00:00"
 
 
+def test_a_repeated_run_touches_nothing(spark, folder, monkeypatch):
+    rows_in = source(spark, ("a", datetime(2024, 1, 1)), ("b", datetime(2024, 1, 2)))
+    paths = (f"{folder}/m", f"{folder}/w")
+    with monkeypatch.context() as m:  # dies between its manifest row and its mark
+        m.setattr(landing, "commit_watermark", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            landing.incremental_extract(rows_in, folder, "d", "2024-01-02", "r1", *paths)
+    for _again in range(2):
+        target = landing.incremental_extract(rows_in, folder, "d", "2024-01-02", "r1", *paths)
+        assert rows(spark.read.schema("id string").json(target)) == [("a",), ("b",)]
+        assert incremental.read_watermark(spark, paths[1], "d") == "2024-01-02 00:00:00"
+    manifests = spark.read.schema(landing.MANIFEST_SCHEMA).parquet(paths[0])
+    assert rows(manifests, "run_id", "records") == [("r1", 2)]
+
+
+def test_days_without_lines_stay_open(spark, folder):
+    src, dst, ledger, notes = (f"{folder}/{n}" for n in "sdln")
+    put_day(src, "2024-01-01", {"event_id": "1"})
+    put_day(src, "bad", {"event_id": "2"})
+    os.makedirs(f"{src}/event_date=2024-01-02")
+    with open(f"{src}/event_date=2024-01-02/events.csv", "w") as f:
+        f.write("event_id")
+    assert landing.land_new_days(spark, src, dst, ledger, notes, "r1") == ["2024-01-01"]
+    assert landing.land_new_days(spark, src, dst, ledger, notes, "r2") == []
+    put_day(src, "2024-01-02", {"event_id": "3"})
+    assert landing.land_new_days(spark, src, dst, ledger, notes, "r3") == ["2024-01-02"]
+    manifests = spark.read.schema(landing.MANIFEST_SCHEMA).parquet(notes)
+    assert rows(manifests.filter("run_id <> 'r2'"), "run_id", "extract_date", "mode") == [
+        ("r1", "2024-01-01", "copied"),
+        ("r1", "2024-01-02", "invalid"),
+        ("r1", "bad", "invalid"),
+        ("r3", "2024-01-01", "skipped"),
+        ("r3", "2024-01-02", "copied"),
+        ("r3", "bad", "invalid"),
+    ]
+
+
 def test_pages_land_and_come_back(spark, folder):
     df = spark.range(250).select(
         F.lpad(F.col("id").cast("string"), 4, "0").alias("id"),

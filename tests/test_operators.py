@@ -102,6 +102,20 @@ def test_lookup_null_keys_match_nothing_and_are_spread(spark):
     assert left.filter("k is null").select(key).distinct().count() > 1000
 
 
+def test_lookup_reads_only_what_is_asked_for(spark, folder):
+    wide = spark.range(100).select(
+        F.col("id").cast("string").alias("invoice_id"),
+        F.col("id").cast("string").alias("k"),
+        *[F.col("id").cast("string").alias(f"c{i}") for i in range(5)],
+    )
+    wide.write.parquet(f"{folder}/wide")
+    left = spark.read.parquet(f"{folder}/wide")
+    right = spark.createDataFrame([("1", "one")], "key string, name string")
+    found = joins.lookup(left, right, on={"k": "key"}, take={"name": "name"}).select("c0", "name")
+    scan = next(line for line in plan_of(found).splitlines() if "FileScan" in line)
+    assert "ReadSchema: struct<invoice_id:string,k:string,c0:string>" in scan
+
+
 def test_lookup_replaces_a_column_of_the_same_name(spark):
     left = spark.createDataFrame([("a", "old")], "k string, v string")
     right = spark.createDataFrame([("a", "new")], "k string, v string")
