@@ -9,27 +9,54 @@ from collections.abc import Sequence
 
 import numpy as np
 
-# White space by which the fast path cuts a text. Other white space and control
-# characters are left to the tokenizer, as regular expression engines differ on them.
-_ODD_SPACE = re.compile(
-    "[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\x85\xa0 ᠎ -​    　﻿]"
+# How a byte-level BPE file cuts a text before it merges, written for
+# texts of ASCII and Latin letters. Others are left to the tokenizer as a whole, since
+# regular expression engines differ on rarer letters, numbers and white space.
+_OTHER_SCRIPT = re.compile("[^\n\r\t\x20-\x7e¡-¬®-ɏ]")
+_PIECES = re.compile(
+    r"'(?:[st]|re|ve|m|ll|d)"
+    r"| ?[^\W\d_²³¹¼½¾]+"
+    r"| ?[0-9²³¹¼½¾]+"
+    r"| ?(?:[^\w\s]|_)+"
+    r"|\s+(?!\S)"
+    r"|\s+"
 )
-_UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-CACHED_UNITS = 400_000
+CACHED_PIECES = 500_000
 
-_encoders: dict[str, "UnitEncoder"] = {}
+_encoders: dict[str, "PieceEncoder"] = {}
 
 
-class UnitEncoder:
-    """Encodes whole texts; runs of non-space characters that come again are looked up.
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level file: itself if printable."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
-    A byte-level BPE file cuts a text into pieces before it merges, and no piece
-    reaches across the border between a word with its leading space and what
-    follows. So the ids of a text are those of its units in turn. Texts with
-    unusual white space, and files with another pre-tokenizer, are encoded whole.
+
+class _Known(dict):
+    """Ids of pieces; unknown ones are merged by the tokenizer's model, and kept up to a bound."""
+
+    def __init__(self, model, bound: int):
+        super().__init__()
+        self.merge, self.bound, self.letters = model.tokenize, bound, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        mapped = "".join(map(self.letters.__getitem__, piece.encode()))
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(mapped)])
+        if len(self) < self.bound:
+            self[piece] = ids
+        return ids
+
+
+class PieceEncoder:
+    """Encodes whole texts; pieces that come again are looked up.
+
+    A byte-level BPE file merges inside pieces only, so the ids of a text are
+    those of its pieces in turn. Files of another kind and texts with other
+    scripts are encoded by the tokenizer as a whole.
     """
 
-    def __init__(self, path: str, cached_units: int = CACHED_UNITS):
+    def __init__(self, path: str, cached_pieces: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
@@ -38,15 +65,13 @@ class UnitEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         cut = spec.get("pre_tokenizer") or {}
-        self.by_unit = (
+        self.by_piece = (
             cut.get("type") == "ByteLevel"
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space", True)
             and spec.get("normalizer") is None
-            and not spec["model"].get("ignore_merges")
         )
-        self.cached_units = cached_units
-        self.cache: dict[str, bytes] = {}
+        self.known = _Known(self.tokenizer.model, cached_pieces)
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
@@ -56,41 +81,20 @@ class UnitEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text is empty."""
         texts = [text or "" for text in texts]
         out: list[bytes] = [b""] * len(texts)
-        whole, cut = [], {}
+        whole = []
+        look_up, pieces = self.known.__getitem__, _PIECES.findall
         for place, text in enumerate(texts):
-            if self.by_unit and not _ODD_SPACE.search(text):
-                cut[place] = _UNITS.findall(text)
+            if self.by_piece and not _OTHER_SCRIPT.search(text):
+                out[place] = b"".join(map(look_up, pieces(text)))
             elif text:
                 whole.append(place)
-        known = self.cache
-        missing = list({unit for units in cut.values() for unit in units if unit not in known})
-        if missing:
-            new = dict(zip(missing, self._whole(missing), strict=True))
-            if len(known) + len(new) <= self.cached_units:
-                known.update(new)
-            else:
-                known = _Both(known, new)
-        look_up = known.__getitem__
-        for place, units in cut.items():
-            out[place] = b"".join(map(look_up, units))
         for place, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[place] = ids
         return out
 
 
-class _Both(dict):
-    """The units of one call, backed by the cache."""
-
-    def __init__(self, cache: dict, new: dict):
-        super().__init__(new)
-        self._cache = cache
-
-    def __missing__(self, unit: str) -> bytes:
-        return self._cache[unit]
-
-
-def encoder(path: str) -> UnitEncoder:
+def encoder(path: str) -> PieceEncoder:
     """The encoder of this worker process, kept between tasks."""
     if path not in _encoders:
-        _encoders[path] = UnitEncoder(path)
+        _encoders[path] = PieceEncoder(path)
     return _encoders[path]
