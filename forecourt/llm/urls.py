@@ -66,11 +66,19 @@ def _normal(url: Column) -> Column:
     return F.regexp_replace(digits, r"[^a-z0:/.?#&=%_+\-,;@!$'()*]", "~")
 
 
-def _trigrams(url: Column) -> Column:
-    """Every character of the url with the two before it; the start is marked, and so is the end."""
-    marked = F.concat(F.lit("^^"), _normal(url), F.lit("|"))
-    places = F.sequence(F.lit(1), F.length(marked) - 2)
-    return F.transform(places, lambda i: F.substr(marked, i, F.lit(3)))
+def _with_trigrams(urls: DataFrame, url: str) -> DataFrame:
+    """A row for every character of each url, ``gram`` being it with the two before it.
+
+    The start is marked, and so is the end. The url is cut into characters once,
+    so a very long one costs time in proportion to its length.
+    """
+    marked = F.concat(F.lit("^^"), _normal(F.col(url)), F.lit("|"))
+    cut = urls.withColumns({"__chars": F.split(marked, ""), "__n": F.length(marked)})
+    grams = F.transform(
+        F.sequence(F.lit(0), F.col("__n") - 3),
+        lambda i: F.concat(*(F.get("__chars", i + k) for k in range(3))),
+    )
+    return cut.select(*urls.columns, F.explode(grams).alias("gram"))
 
 
 def _log_probabilities(grams: DataFrame, counted: Column, label: str) -> DataFrame:
@@ -133,7 +141,7 @@ def judge(
     urls = cut_lineage(urls)
     learning = (F.col("fold") != 0) & F.col("label").isNotNull()
     grams = (
-        urls.select("label", "fold", "n", F.explode(_trigrams(F.col("url"))).alias("gram"))
+        _with_trigrams(urls, "url")
         .groupBy("gram")
         .agg(
             F.sum(F.when(learning & (F.col("label") == "allow"), F.col("n")).otherwise(0)).alias(
@@ -154,9 +162,7 @@ def judge(
         good.join(bad, "gram").select("gram", weight.cast("bigint").alias("weight"))
     )
     scores = cut_lineage(
-        urls.select(F.col("url").alias("key"))
-        .distinct()
-        .select("key", F.explode(_trigrams(F.col("key"))).alias("gram"))
+        _with_trigrams(urls.select(F.col("url").alias("key")).distinct(), "key")
         .join(F.broadcast(weights), "gram")
         .groupBy("key")
         .agg(
