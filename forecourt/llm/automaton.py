@@ -295,7 +295,7 @@ def overlap_report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFra
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
-    min_span: int = WINDOW,
+    min_span: int = 1,
     max_coverage: float = 0.0,
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
@@ -305,7 +305,8 @@ def decontaminate(
     A row goes if more than ``max_coverage`` of its words lie in spans of
     ``min_span`` words or more; 0 drops every row with such a span, 1 none. From
     rows that stay the spans are removed with the text between their words.
-    Shorter spans stay. Null texts stay null.
+    Shorter spans stay; by default there are none, as a whole item of few words
+    is a span too. Null texts stay null.
     """
     found = find_overlaps(docs, benchmark, window, shard_words)
     spans = F.filter("__spans", lambda s: s["stop"] - s["start"] >= min_span)
