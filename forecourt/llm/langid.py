@@ -16,6 +16,7 @@ BUCKET_BITS = 12
 DIMENSIONS = 16
 GRAM_SIZES = (2, 3, 4)
 SAMPLE_ROWS = 4000
+RANK_PARTS = 64
 EPOCHS = 6
 BATCH_ROWS = 64
 LEARNING_RATE = 8.0
@@ -178,7 +179,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     ``sample_rows`` (4000) is the bound on rows that reach the driver, as 8 KB of
     subword counts each. Languages take turns, each in the order of a hash of the
     ids, so rare ones are not lost. Only ``text`` and ``lang`` are used. Rows
-    without id, language or letter are not learned from.
+    without id, language or letter are not learned from; of rows with one id, one.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.filter(_fold() != HOLD_OUT[1]).select(
@@ -186,9 +187,15 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
         F.col("lang").cast("string").alias("__lang"),
         F.xxhash64(F.col("doc_id").cast("bigint")).alias("__hash"),
     )
+    # Ranked in parts of a language first: what is left of each part is bounded, so that
+    # the rows of a frequent language don't meet in one task.
+    part = F.pmod("__hash", F.lit(RANK_PARTS))
+    rough = F.row_number().over(Window.partitionBy("__lang", part).orderBy("__hash", "__id"))
     turn = F.row_number().over(Window.partitionBy("__lang").orderBy("__hash", "__id"))
     chosen = (
-        labelled.withColumn("__turn", turn)
+        labelled.withColumn("__rough", rough)
+        .filter(F.col("__rough") <= -(-4 * sample_rows // RANK_PARTS))
+        .withColumn("__turn", turn)
         .filter(F.col("__turn") <= sample_rows)
         .orderBy("__turn", "__lang")
         .limit(sample_rows)
@@ -216,10 +223,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
                 )
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text")
-    sampled = texts.join(F.broadcast(chosen), "__id").select("__turn", "__lang", "text")
+    sampled = texts.join(F.broadcast(chosen), "__id").dropDuplicates(["__turn", "__lang"])
+    sampled = sampled.select("__turn", "__lang", "text")
     rows = sampled.mapInArrow(count, "turn int, lang string, counts binary").collect()
     rows.sort(key=lambda r: (r["turn"], r["lang"], r["counts"]))
-    rows = rows[: 2 * sample_rows]
     counts = np.stack([np.frombuffer(r["counts"], "<u2") for r in rows]) if rows else np.zeros(
         (0, 1 << BUCKET_BITS), np.uint16
     )
