@@ -312,6 +312,7 @@ def decontaminate(
     spans = F.filter("__spans", lambda s: s["stop"] - s["start"] >= min_span)
     found = found.withColumn("__spans", spans)
     hit = F.aggregate("__spans", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
+    names = docs.columns
     found = found.filter(hit <= F.lit(max_coverage) * F.col("__words"))
 
     def cut(batches):
@@ -328,13 +329,13 @@ def decontaminate(
                 yield pa.record_batch(
                     [
                         pa.array(texts, pa.string()) if name == "text" else rows.column(name)
-                        for name in docs.columns
+                        for name in names
                     ],
-                    names=docs.columns,
+                    names=names,
                 )
 
     if max_coverage <= 0:
-        return found.select(*docs.columns)
+        return found.select(*names)
     return found.mapInArrow(cut, docs.schema)
 
 
