@@ -238,19 +238,18 @@ def sample_dictionary(
     """A dictionary from a bounded sample: up to ``records`` pages of up to ``max_bytes`` each.
 
     Pages are taken by the least hashes of their ids, so reruns take the same
-    ones. The bound (6.5 MB by default) is what reaches the driver.
+    ones; of rows with one id, one. The ids are chosen first, so that only the
+    chosen pages (6.5 MB by default at most) reach the driver.
     """
-    rows = (
-        pages.select(
-            F.col("page_id").cast("bigint").alias("page_id"),
-            F.col("url").cast("string").alias("url"),
-            "html",
-        )
-        .filter(F.octet_length("html") <= max_bytes)
-        .orderBy(F.xxhash64("page_id"), "page_id", "url", "html")
-        .limit(records)
-        .collect()
+    short = pages.filter(F.octet_length("html") <= max_bytes).select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        "html",
     )
+    ids = short.filter("page_id is not null").select("page_id").distinct()
+    chosen = cut_lineage(ids.orderBy(F.xxhash64("page_id"), "page_id").limit(records))
+    rows = short.join(F.broadcast(chosen), "page_id").dropDuplicates(["page_id"]).collect()
+    rows.sort(key=lambda row: row["page_id"])
     samples = []
     for row in rows:
         payload = row["html"].encode()
