@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import cut_lineage, row_slices
@@ -25,8 +25,9 @@ BATCH_TOKENS = 2048
 RATE = 0.05
 WARM_DOCS = 400
 WARM_EPOCHS = 2
-FLUSH_WORDS = 300_000
-CACHED_WORDS = 300_000
+FLUSH_WORDS = 200_000
+CACHED_WORDS = 150_000
+SCORED_CHARS = 500_000
 BLOCKS = 64
 END = 0
 
@@ -276,10 +277,29 @@ def _counted(found: Counter) -> pa.RecordBatch:
     )
 
 
+def _most_frequent(counts: DataFrame, most: int) -> list[Row]:
+    """Up to ``most`` of the most frequent words, in order.
+
+    A sort with a limit would send that many rows from every task. Instead the
+    words are counted by steps of one percent of frequency, and those of the
+    upper steps, as far as they fit, are taken: no more than ``most`` in all.
+    """
+    step = F.floor(F.ln("n") * 100)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, held = None, 0
+    for size in sorted(sizes, reverse=True):
+        held += size["words"]
+        if held > most:
+            break
+        least = size["step"]
+    rows = counts.filter(step >= least).collect() if least is not None else []
+    return sorted(rows, key=lambda row: (-row["n"], bytes(row["word"])))
+
+
 def learn_vocabulary(counts: DataFrame, n_ends: int, head_words: int = HEAD_WORDS) -> Vocabulary:
     """From the counts of all training words; ``head_words`` bounds what reaches the driver."""
     totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(head_words).collect()
+    top = _most_frequent(counts, head_words)
     head = [bytes(row["word"]) for row in top]
     head_counts = np.array([row["n"] for row in top], np.float64)
     own = set(head[: CLASSES - SUFFIX_CLASSES - 1])
@@ -340,11 +360,11 @@ def train(docs: DataFrame, vocabulary: Vocabulary, warm_docs: int = WARM_DOCS) -
                 yield pa.record_batch({"classes": pa.array(found, pa.binary())})
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("__id"), "text")
-    sample = texts.join(F.broadcast(chosen), "__id").select("text")
+    sample = texts.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).select("text")
     rows = sorted(bytes(r[0]) for r in sample.mapInArrow(number, "classes binary").collect())
     warm = Trainer(model, share, seed=1)
     for _ in range(WARM_EPOCHS):
-        for row in rows[: 2 * warm_docs]:
+        for row in rows:
             warm.add(np.frombuffer(row, "<u2").astype(np.int64))
         warm.flush()
     begun = spark.sparkContext.broadcast(model.vector())
@@ -413,7 +433,7 @@ def _score_texts(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear) ->
     def score(batches):
         words_of, lm = shared.value[0].encode, shared.value[1]
         for batch in batches:
-            for rows in row_slices(batch, "text"):
+            for rows in row_slices(batch, "text", SCORED_CHARS):
                 n_tokens, known, base, scores = [], [], [], []
                 offsets, tail_words, tail_counts = [0], [], []
                 coded, sequences = [], []
