@@ -168,20 +168,9 @@ def near_copies(
     """
     marked = cut_lineage(with_fingerprints(docs, words))
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = component_roots(close_pairs(nodes.select("fp"), max_distance, n_blocks, crowded))
-    linked = cut_lineage(
-        nodes.join(roots, F.col("fp") == F.col("node"))
-        .select("fp", "first_id", "root")
-    )
-    least = cut_lineage(linked.groupBy("root").agg(F.min("first_id").alias("linked_id")))
-    linked = linked.join(least, "root").select("fp", "linked_id")
-    classes = cut_lineage(
-        nodes.join(linked, "fp", "left").select(
-            F.col("fp").alias("node_fp"),
-            F.coalesce("linked_id", "first_id").alias("component_id"),
-        )
-    )
-    return marked.join(classes, F.col("fp") == F.col("node_fp")).select(
+    links = close_pairs(nodes.select("fp"), max_distance, n_blocks, crowded)
+    classes = component_ids(nodes.select(F.col("fp").alias("key"), "first_id"), links)
+    return marked.join(classes, F.col("fp") == F.col("key")).select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -189,9 +178,26 @@ def near_copies(
     )
 
 
-def one_per_component(docs: DataFrame, **settings) -> DataFrame:
+def component_ids(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, component_id``: of each node ``key, first_id`` the least ``first_id`` over ``links``."""
+    roots = component_roots(links)
+    linked = cut_lineage(
+        nodes.join(roots, F.col("key") == F.col("node")).select("key", "first_id", "root")
+    )
+    least = cut_lineage(linked.groupBy("root").agg(F.min("first_id").alias("linked_id")))
+    linked = linked.join(least, "root").select("key", "linked_id")
+    return cut_lineage(
+        nodes.join(linked, "key", "left").select(
+            "key", F.coalesce("linked_id", "first_id").alias("component_id")
+        )
+    )
+
+
+def one_per_component(docs: DataFrame, near=near_copies, **settings) -> DataFrame:
     """The rows of ``docs`` without their near copies: of each component the least id stays.
 
+    ``near`` gives ``doc_id, component_id, text_hash`` for every row of ``docs``.
+
     Repeated rows of that id with the same text count as copies too: one of them
     stays. Rows without an id stay only if their component has no id at all, and
     of equal texts among them one.
@@ -201,7 +207,7 @@ def one_per_component(docs: DataFrame, **settings) -> DataFrame:
         named = F.col("doc_id").cast("bigint").cast("string")
         return F.coalesce(named, F.concat(F.lit("text "), text_hash)).alias("__key")
 
-    kept = near_copies(docs, **settings).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = near(docs, **settings).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = cut_lineage(kept.select(key(F.col("text_hash"))).distinct())
     rows = docs.select("*", key(F.xxhash64("text"))).join(keep, "__key", "left_semi")
     return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)
