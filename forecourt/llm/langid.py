@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +115,7 @@ def train(
 
     The last ``CALIBRATION_SHARE`` of the rows set the temperature (least log
     loss) and the threshold: the score that ``rejected_share`` of the rightly
-    named held-back texts stay below, and never above an even chance.
+    named held-back texts stay below.
     """
     languages = sorted(set(labels))
     if not languages:
@@ -162,7 +163,26 @@ def _calibrate(model: LanguageModel, counts: np.ndarray, target: np.ndarray, sha
     found = model.probabilities(counts)
     right = found.max(1)[found.argmax(1) == target]
     if len(right):
-        model.threshold = float(min(np.quantile(right, share), 1 / len(model.languages) + 0.1, 0.5))
+        model.threshold = _lower_limit(right.astype(float), share)
+
+
+def _lower_limit(scores: np.ndarray, share: float) -> float:
+    """The score that ``share`` of the texts stay below, as ``scores`` tell.
+
+    Fewer than 1 / share scores don't reach that far down: for them it is the
+    prediction limit of Student's t on their logits, if that is lower.
+    """
+    limit, n = float(np.quantile(scores, share)), len(scores)
+    if n * share >= 1:
+        return limit
+    if n < 2:
+        return 0.0
+    sure = np.clip(scores, 1e-9, 1 - 1e-9)
+    logits = np.log(sure / (1 - sure))
+    z, free = NormalDist().inv_cdf(1 - share), n - 1
+    t = z + (z**3 + z) / (4 * free) + (5 * z**5 + 16 * z**3 + 3 * z) / (96 * free**2)
+    tail = logits.mean() - t * logits.std(ddof=1) * np.sqrt(1 + 1 / n)
+    return min(limit, float(1 / (1 + np.exp(-tail))))
 
 
 def _fold() -> Column:

@@ -2,10 +2,12 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from forecourt.llm import langid, logbilinear, urls
 from tests.llm.conftest import AWKWARD
@@ -47,6 +49,24 @@ def test_language_of_awkward_rows(spark, documents, docs_of):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({1, 2, 3, 9})
 
 
+def test_unlearned_languages_and_junk_are_rejected(spark, documents, docs_of):
+    rng = random.Random(3)
+    foreign = [
+        "szybki brązowy lis przeskakuje nad leniwym psem i biegnie daleko do lasu",
+        "nopea ruskea kettu hyppää laiskan koiran yli ja juoksee kauas metsään",
+        "το γρήγορο αλεπού πηδάει πάνω από τον τεμπέλη σκύλο και τρέχει μακριά",
+    ]
+    junk = [
+        " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(40))
+        for _ in range(30)
+    ]
+    model = langid.fit(documents)
+    kept = langid.keep_accepted(docs_of(list(enumerate(foreign + junk))), model)
+    assert kept.count() == 0
+    clean = documents.filter(langid.held_out() & F.col("lang").isNotNull())
+    assert langid.keep_accepted(clean, model).count() >= 0.98 * clean.count()
+
+
 def test_nothing_to_learn_a_language_from(docs_of):
     docs = docs_of([(1, "some text", "s", None)])
     model = langid.fit(docs)
