@@ -52,8 +52,8 @@ class PieceEncoder:
     """Encodes whole texts; pieces that come again are looked up.
 
     A byte-level BPE file merges inside pieces only, so the ids of a text are
-    those of its pieces in turn. Files of another kind and texts with other
-    scripts are encoded by the tokenizer as a whole.
+    those of its pieces in turn. Files of another kind, texts with other scripts
+    and texts that spell out an added token are encoded by the tokenizer as a whole.
     """
 
     def __init__(self, path: str, cached_pieces: int = CACHED_PIECES):
@@ -61,7 +61,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         cut = spec.get("pre_tokenizer") or {}
@@ -71,6 +70,8 @@ class PieceEncoder:
             and not cut.get("add_prefix_space", True)
             and spec.get("normalizer") is None
         )
+        added = [token["content"] for token in spec.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, filter(None, added))) or "(?!)")
         self.known = _Known(self.tokenizer.model, cached_pieces)
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
@@ -84,7 +85,7 @@ class PieceEncoder:
         whole = []
         look_up, pieces = self.known.__getitem__, _PIECES.findall
         for place, text in enumerate(texts):
-            if self.by_piece and not _OTHER_SCRIPT.search(text):
+            if self.by_piece and not (_OTHER_SCRIPT.search(text) or self.added.search(text)):
                 out[place] = b"".join(map(look_up, pieces(text)))
             elif text:
                 whole.append(place)

@@ -36,6 +36,14 @@ def test_pieces_encode_like_the_whole_text(plain, texts):
         assert np.frombuffer(ids, "<u4").tolist() == plain(text)
 
 
+def test_added_tokens_are_one_id():
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> 漢", "<|endoftext>"]
+    for text, ids in zip(texts, encoder(PATH).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder(PATH).encode(texts[:1])[0], "<u4").tolist() == [64, 50256, 65]
+
+
 @settings(max_examples=60, deadline=None)
 @given(
     st.lists(st.integers(0, 2**32 - 1), max_size=300),
