@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from forecourt.llm import automaton, langid, lengths, linefreq, logbilinear, mixing, planes, simhash, urls, warc
+from forecourt.llm import (
+    automaton,
+    langid,
+    lengths,
+    linefreq,
+    logbilinear,
+    mixing,
+    oddsketch,
+    planes,
+    prefixtrie,
+    simhash,
+    spelling,
+    urls,
+    warc,
+)
 from forecourt.llm.common import corpus_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -237,6 +251,153 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_sums(lengths.length_histogram(docs, path))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(corpus_table(spark, sf_dir, "conversations"))
+
+
+# The table of the cyclic redundancy check, and the check of a column of hex digits with it.
+_CRC_TABLE = """
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: xor(c // 2, 3988292384 * (c & 1)))) AS tbl
+"""
+_CRC = """xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(length(hexed) // 2),
+            lambda i: CAST('0x' || substr(hexed, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(tbl[(xor(c, b) & 255) + 1], c // 256)))"""
+
+OP11_SQL = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), turns AS (
+    SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+    SELECT conv_id, list(turn ORDER BY place) AS own FROM turns GROUP BY conv_id
+), heads AS (
+    SELECT conv_id, own, {_CRC} % 4 AS h
+    FROM (SELECT *, hex(CAST(conv_id AS VARCHAR)) AS hexed FROM lists), crc
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own[1 : c.h], []), c.own[c.h + 1 :]) AS line
+    FROM heads AS c LEFT JOIN lists AS b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, d AS depth, line[1 : d] AS path, d = len(line) AS ends
+    FROM (SELECT *, unnest(range(len(line) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+               FILTER (ends), '')) AS ends_sha256,
+           (count(*) - 1) * CASE WHEN any_value(depth) = 0 THEN 0 ELSE
+               len(regexp_extract_all(path[-1].t, '[^\\x20\\x09-\\x0D]+')) END AS saved
+    FROM prefixes GROUP BY path
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id
+    FROM nodes AS n LEFT JOIN nodes AS p
+      ON p.depth = n.depth - 1 AND p.path = n.path[1 : len(n.path) - 1]
+), children AS (
+    SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children
+    FROM linked WHERE depth > 0 GROUP BY ALL
+), under AS (
+    SELECT conv_id, depth, conv_id AS c, depth AS d, saved,
+           (conv_id, depth) NOT IN (SELECT (conv_id, depth) FROM children) AS leaf
+    FROM linked
+    UNION ALL
+    SELECT l.parent_conv_id, l.depth - 1, u.c, u.d, u.saved, u.leaf
+    FROM under AS u JOIN linked AS l ON l.conv_id = u.conv_id AND l.depth = u.depth
+    WHERE l.depth > 0
+), totals AS (
+    SELECT conv_id, depth, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+           CAST(count(*) FILTER (leaf) AS BIGINT) AS n_leaves
+    FROM under GROUP BY ALL
+)
+SELECT l.conv_id, l.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, ends_sha256
+FROM linked AS l JOIN totals USING (conv_id, depth) LEFT JOIN children USING (conv_id, depth)
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(corpus_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents WHERE text IS NOT NULL
+), hashed AS (
+    SELECT run, times, {_CRC} AS h
+    FROM (SELECT run, count(*) AS times, hex(id || run) AS hexed FROM runs GROUP BY id, run), crc
+), words AS (
+    SELECT CASE WHEN h % 199 = 0
+                THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, CAST(sum(times) AS BIGINT) AS n
+    FROM hashed GROUP BY word HAVING length(word) >= 6 AND sum(times) >= 5
+), places AS (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words
+), gaps AS (
+    SELECT word, n, substr(word, 1, i - 1) || '?' || substr(word, i + 1) AS gap,
+           substr(word, 1, i - 1) || substr(word, i + 1) AS shorter
+    FROM places
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM gaps AS a JOIN gaps AS b USING (gap) WHERE a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM gaps AS a JOIN words AS b ON a.shorter = b.word
+    UNION SELECT b.word, a.word, a.n FROM gaps AS a JOIN words AS b ON a.shorter = b.word
+), best AS (
+    SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, n AS other_n,
+           row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS place
+    FROM near
+), forms AS (
+    SELECT word, words.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN other_n >= 5 * words.n THEN other END AS form,
+           CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (word)
+), ways AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT w.word, f.form FROM ways AS w JOIN forms AS f ON f.word = w.root
+    WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n
+FROM forms AS f JOIN (
+    SELECT w.word, w.root FROM ways AS w JOIN forms AS l ON l.word = w.root WHERE l.form IS NULL
+) AS w ON w.word = f.word
+"""
+
+
+def op13_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_copies(corpus_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+           ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+    FROM d
+), grams AS (
+    SELECT r, len(s) AS size, hash(unnest(s)) AS g FROM sets
+), links AS (
+    SELECT a.r AS a, b.r AS b FROM grams AS a JOIN grams AS b ON a.g = b.g AND a.r <> b.r
+    WHERE 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
+    GROUP BY a.r, b.r, a.size, b.size
+    HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))
+), reach AS (
+    SELECT r, r AS other FROM sets
+    UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.other
+), roots AS (
+    SELECT reach.r, min(sets.doc_id) AS component_id
+    FROM reach JOIN sets ON sets.r = reach.other GROUP BY reach.r
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+       coalesce(doc_id = component_id, false) AS kept
+FROM sets JOIN roots USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -248,10 +409,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_models": op8_url_models,
     "op9_suffix_automaton": op9_suffix_automaton,
     "op10_length_histogram": op10_length_histogram,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_odd_sketches": op13_odd_sketches,
 }
 ORACLES: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op5_line_frequency": OP5_SQL,
     "op8_url_models": OP8_SQL,
     "op9_suffix_automaton": OP9_SQL,
+    "op11_prefix_trie": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
+    "op13_odd_sketches": OP13_SQL,
 }

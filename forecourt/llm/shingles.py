@@ -1,4 +1,4 @@
-"""Near copies by their shared word shingles: banded minimum hashes, verified by exact similarity."""
+"""Near copies by their shared word shingles: SimHash blocks and minimum-hash bands, verified."""
 
 from __future__ import annotations
 
@@ -8,14 +8,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm import crowds
 from forecourt.llm.common import cut_lineage, row_slices
-from forecourt.llm.simhash import component_ids
+from forecourt.llm.simhash import component_ids, majority_bits, way_keys
 
 SHINGLE_WORDS = 5
-LEAST_SIMILARITY = 0.8
+LEAST_PERCENT = 80
 BANDS, BAND_ROWS = 28, 4
-CROWDED = 16
-NEXT_BANDS = 3  # bands that a crowded one is combined with
+FAR_BITS = 32  # fingerprints of sets at 0.8 differ in 10 to 14 of 64 bits, five deviations below this
 SEED = 42  # fixed value: the hash seed of shingles and bands
 
 _rng = np.random.default_rng(SEED)
@@ -35,23 +35,27 @@ def shingle_hashes(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
     )
 
 
-def similarity(one: np.ndarray, other: np.ndarray) -> float:
-    """Jaccard similarity of two results of ``shingle_hashes``."""
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    return both / (len(one) + len(other) - both)
+def set_name(hashes: np.ndarray) -> int:
+    """A signed 64-bit name of a set of hashes."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One signed 64-bit key for each band of minimum hashes.
-
-    Texts of similarity s share a key with 1 - (1 - s^4)^28: all but 4 in ten
-    million pairs at 0.8, more above.
-    """
+def minimum_hashes(hashes: np.ndarray) -> np.ndarray:
+    """``BANDS`` times ``BAND_ROWS`` minimum hashes of a set."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     least = np.full(BANDS * BAND_ROWS, 2**32 - 1, np.uint32)
     for at in range(0, len(short), 1024):
         mixed = (short[None, at : at + 1024] ^ _MASKS[:, None]) * _FACTORS[:, None]
         np.minimum(least, mixed.min(1), out=least)
+    return least
+
+
+def band_keys(least: np.ndarray) -> list[int]:
+    """One signed 64-bit key for each band of ``minimum_hashes``.
+
+    Sets of similarity s share a key with 1 - (1 - s^4)^28: all but 4 in ten
+    million pairs at 0.8, more above.
+    """
     keys = [
         xxhash.xxh64_intdigest(band.tobytes(), number)
         for number, band in enumerate(least.reshape(BANDS, BAND_ROWS))
@@ -59,121 +63,104 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
-def _node(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def with_bands(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, text_hash, node, bands``: a row per row of ``docs``; equal texts are one node."""
-
-    def sketch(batches):
-        for batch in batches:
-            for rows in row_slices(batch, "__text"):
-                found = [
-                    band_keys(shingle_hashes(t, words)) for t in rows.column("__text").to_pylist()
-                ]
-                kept = {name: rows.column(name) for name in ("doc_id", "text_hash", "node")}
-                bands = pa.array(found, pa.list_(pa.int64()))
-                yield pa.record_batch(kept | {"bands": bands})
-
-    return docs.select(
+def row_key(docs: DataFrame) -> list[Column]:
+    """``doc_id, text_hash``: what tells the rows of ``docs`` apart, copies aside."""
+    return [
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
-        _node(F.col("text")).alias("node"),
-        F.col("text").alias("__text"),
-    ).mapInArrow(sketch, "doc_id bigint, text_hash bigint, node bigint, bands array<bigint>")
-
-
-def _met(keys: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``a, b`` of nodes under one key, and the rows ``node, key`` of crowded keys.
-
-    Nodes under a crowded key are only paired with the least of them here.
-    """
-    sizes = cut_lineage(
-        keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader"))
-        .filter("n > 1")
-    )
-    shared = cut_lineage(keys.join(sizes, "key"))
-    few, many = shared.filter(F.col("n") <= crowded), shared.filter(F.col("n") > crowded)
-    left, right = (few.select("key", F.col("node").alias(end)) for end in "ab")
-    pairs = left.join(right, "key").filter("a < b").select("a", "b")
-    led = many.filter("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    return pairs.unionAll(led), many.select("node", "key")
-
-
-def candidate_pairs(nodes: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """Distinct pairs ``a < b`` of nodes that may be near copies, from ``node, bands``.
-
-    All pairs under a band key of up to ``crowded`` nodes are candidates. Under a
-    fuller key all pairs would be too many: its nodes meet the least of them, and
-    each other under the longer keys of two neighbouring bands, by the same rule.
-    """
-    numbered = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    pairs, many = _met(numbered.select("node", "key"), crowded)
-    crowd = many.select("node").distinct()
-    bands = F.col("bands")
-    double = F.array(
-        *(
-            F.xxhash64(bands[k], bands[(k + step) % BANDS], F.lit(step))
-            for step in range(1, NEXT_BANDS + 1)
-            for k in range(BANDS)
-        )
-    )
-    longer = nodes.join(crowd, "node", "left_semi").select("node", F.explode(double).alias("key"))
-    finer, _ = _met(longer, crowded)
-    return cut_lineage(pairs.unionAll(finer).distinct())
+    ]
 
 
-def similar_pairs(
-    docs: DataFrame, pairs: DataFrame, words: int = SHINGLE_WORDS, least: float = LEAST_SIMILARITY
-) -> DataFrame:
-    """The ``pairs`` whose texts have a Jaccard similarity of ``least`` or more, from all shingles."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(
-        _node(F.col("text")).alias("node"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    )
-    texts = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text"))
-    texts = cut_lineage(texts)
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+def sets_of_rows(docs: DataFrame, chosen: DataFrame, hashes_of, words: int) -> DataFrame:
+    """``node, grams``: the whole shingle sets of the rows ``doc_id, text_hash, node`` of ``chosen``."""
 
-    def verify(batches):
+    def collect(batches):
         for batch in batches:
-            for rows in row_slices(batch, "text_a"):
-                texts_of = zip(
-                    rows.column("text_a").to_pylist(),
-                    rows.column("text_b").to_pylist(),
-                    strict=True,
-                )
-                near = [
-                    similarity(shingle_hashes(x, words), shingle_hashes(y, words)) >= least
-                    for x, y in texts_of
-                ]
-                yield rows.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    full = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(verify, "a bigint, b bigint")
+            for rows in row_slices(batch, "__text"):
+                grams = [hashes_of(t, words).view(np.int64) for t in rows.column("__text").to_pylist()]
+                sizes = np.cumsum([0, *map(len, grams)], dtype=np.int32)
+                flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
+                yield pa.record_batch({"node": rows.column("node"), "grams": lists})
+
+    rows = docs.select(*row_key(docs), F.col("text").alias("__text")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (
+        F.col("d.text_hash") == F.col("c.text_hash")
+    )
+    texts = rows.join(chosen.alias("c"), same).select("node", "__text")
+    found = texts.mapInArrow(collect, "node bigint, grams array<bigint>")
+    return found.groupBy("node").agg(F.first("grams").alias("grams"))
 
 
 def near_copies(
     docs: DataFrame,
     words: int = SHINGLE_WORDS,
-    least: float = LEAST_SIMILARITY,
-    crowded: int = CROWDED,
+    percent: int = LEAST_PERCENT,
+    crowded: int = crowds.CROWDED,
 ) -> DataFrame:
     """``doc_id, component_id, text_hash``: one row per row of ``docs``.
 
     Texts are linked if the Jaccard similarity of their shingles of ``words``
-    words is ``least`` or more; ``component_id`` is the least ``doc_id`` that can
-    be reached over links. Null and empty texts are copies of each other. Ids and
-    repeated rows are treated as by ``simhash.near_copies``.
+    words is ``percent`` or more; ``component_id`` is the least ``doc_id`` that can
+    be reached over links. Texts with equal shingles are one node. Candidates meet
+    under a SimHash block (the closest pairs) or a band of minimum hashes (the
+    others); pairs of distant fingerprints are refused, and the rest verified on
+    whole sets, in crowds by ``crowds.similar_links``. Null and empty texts are
+    copies of each other. Ids and repeated rows are treated as by
+    ``simhash.near_copies``.
     """
-    marked = cut_lineage(with_bands(docs, words))
-    nodes = cut_lineage(
-        marked.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+
+    def sketch(batches):
+        for batch in batches:
+            for rows in row_slices(batch, "__text"):
+                found = [shingle_hashes(t, words) for t in rows.column("__text").to_pylist()]
+                kept = {name: rows.column(name) for name in ("doc_id", "text_hash")}
+                prints = np.array([majority_bits(h) for h in found], np.uint64).view(np.int64)
+                bands = [band_keys(minimum_hashes(h)) for h in found]
+                yield pa.record_batch(
+                    kept
+                    | {
+                        "node": pa.array([set_name(h) for h in found], pa.int64()),
+                        "size": pa.array(list(map(len, found)), pa.int64()),
+                        "sketch": pa.array(prints),
+                        "bands": pa.array(bands, pa.list_(pa.int64())),
+                    }
+                )
+
+    marked = cut_lineage(
+        docs.select(*row_key(docs), F.col("text").alias("__text")).mapInArrow(
+            sketch,
+            "doc_id bigint, text_hash bigint, node bigint, size bigint, sketch bigint, "
+            "bands array<bigint>",
+        )
+    )
+    nodes = node_rows(marked)
+    members = nodes.select(
+        "node", "size", "sketch", F.concat("bands", way_keys(F.col("sketch"))).alias("keys")
+    )
+    links = crowds.similar_links(
+        members,
+        lambda asked: sets_of_rows(docs, chosen_rows(nodes, asked), shingle_hashes, words),
+        lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= FAR_BITS,
+        percent,
+        crowded,
     )
-    links = similar_pairs(docs, candidate_pairs(nodes.select("node", "bands"), crowded), words, least)
     classes = component_ids(nodes.select(F.col("node").alias("key"), "first_id"), links)
-    return marked.join(classes, F.col("node") == F.col("key")).select(
-        "doc_id", "component_id", "text_hash"
+    return marked.select("doc_id", "text_hash", "node").join(
+        classes, F.col("node") == F.col("key")
+    ).select("doc_id", "component_id", "text_hash")
+
+
+def node_rows(marked: DataFrame) -> DataFrame:
+    """One row per node: its sketch and bands, its least id, and a row that has its text."""
+    return cut_lineage(
+        marked.groupBy("node").agg(
+            F.min("doc_id").alias("first_id"),
+            F.min(F.struct("doc_id", "text_hash")).alias("row"),
+            *(F.first(c).alias(c) for c in ("size", "sketch", "bands")),
+        )
     )
+
+
+def chosen_rows(nodes: DataFrame, asked: DataFrame) -> DataFrame:
+    return nodes.join(asked, "node", "left_semi").select("row.doc_id", "row.text_hash", "node")

@@ -29,7 +29,13 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     if len(data) <= words:
         return hashed(join(data), SEED)
     shingles = map(join, zip(*(data[k:] for k in range(words)), strict=False))
-    hashes = np.fromiter((hashed(s, SEED) for s in shingles), "<u8", len(data) - words + 1)
+    return majority_bits(
+        np.fromiter((hashed(s, SEED) for s in shingles), "<u8", len(data) - words + 1)
+    )
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """64 bits; a bit is set if it is set in over half of the hashes."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         octets = hashes[at : at + 65_536].view(np.uint8).reshape(-1, 8)
@@ -73,6 +79,15 @@ def _block_keys(fp: Column, max_distance: int, n_blocks: int) -> Column:
     return F.array(*keys)
 
 
+def way_keys(
+    fp: Column, max_distance: int = MAX_DISTANCE, n_blocks: int = N_BLOCKS
+) -> Column:
+    """The block keys of a fingerprint as one array of longs."""
+    return F.transform(
+        _block_keys(fp, max_distance, n_blocks), lambda k: F.xxhash64(k["way"], k["block"])
+    )
+
+
 def close_pairs(
     prints: DataFrame,
     max_distance: int = MAX_DISTANCE,

@@ -40,7 +40,7 @@ def planted(copies):
     return texts
 
 
-@pytest.mark.parametrize("copies, crowded", [(2, 16), (6, 3), (20, 16)])
+@pytest.mark.parametrize("copies, crowded", [(2, 16), (6, 3), (20, 4)])
 def test_near_copies_against_brute_force(spark, docs_of, copies, crowded):
     texts = planted(copies)
     wanted = slow_components(texts)
@@ -49,6 +49,40 @@ def test_near_copies_against_brute_force(spark, docs_of, copies, crowded):
     assert [got[i] for i in range(len(texts))] == wanted
 
 
+def variants(rng, size, count):
+    """A text and variants of it at 0.8 or more, which are mostly not that near to each other."""
+    words = [f"w{rng.randrange(5000)}" for _ in range(size)]
+    return [" ".join(words), *(edited(rng, words, 4) for _ in range(count))]
+
+
+@pytest.mark.parametrize("count", [400, 2000])
+def test_a_crowd_of_variants_is_one_component(spark, docs_of, count):
+    rng = random.Random(count)
+    texts = variants(rng, 204, count)
+    base, other = map(slow_shingles, texts[:2])
+    assert len(base & other) >= 0.8 * len(base | other)
+    alone = ["nothing like the others " * 3]
+    found = shingles.near_copies(docs_of(list(enumerate(texts + alone)))).collect()
+    assert {r["component_id"] for r in found} == {0, count + 1}
+
+
+def test_a_crowd_of_several_components(spark, docs_of):
+    """Chains and clusters under common keys: every link counts, also far from the hubs."""
+    rng = random.Random(3)
+    texts = variants(rng, 120, 1)[:1]
+    for _ in range(12):  # cousins under 0.8, each with near copies of its own and of those
+        cousin = edited(rng, texts[0].split(), 5)
+        texts.append(cousin)
+        for _ in range(6):
+            texts.append(edited(rng, cousin.split(), 2))
+            texts.append(edited(rng, texts[-1].split(), 2))
+    rng.shuffle(texts)
+    wanted = slow_components(texts)
+    found = shingles.near_copies(docs_of(list(enumerate(texts))), crowded=3).collect()
+    got = {r["doc_id"]: r["component_id"] for r in found}
+    assert [got[i] for i in range(len(texts))] == wanted and 1 < len(set(wanted)) < len(texts)
+
+
 def test_the_stage_drops_planted_near_copies(spark, docs_of):
     texts = planted(2)
     wanted = set(slow_components(texts))
