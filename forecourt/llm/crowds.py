@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +14,9 @@ from forecourt.llm.common import cut_lineage
 from forecourt.llm.components import component_roots
 
 CROWDED = 32
-FIRST_HUBS, MORE_HUBS = 2, 4
+FIRST_HUBS, MORE_HUBS = 2, 32
+PARITY_BITS = 1024
+_SHIFT = np.uint64(64 - 10)  # the leading 10 bits of a hash
 
 Close = Callable[[Column, Column], Column]
 
@@ -23,6 +28,29 @@ def _may_link(one: str, other: str, close: Close, percent: int) -> Column:
     return sizes & close(F.col(f"{one}.sketch"), F.col(f"{other}.sketch"))
 
 
+def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Bits that an odd number of the set's hashes fall on, as signed longs."""
+    flips = np.bincount((hashes >> _SHIFT).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((flips & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _few_apart(percent: int) -> Column:
+    """Whether two sets may be similar by their parity bitmaps, which is never wrong.
+
+    The bitmaps differ in at most as many bits as there are elements in one set
+    only, and those are at most (100 - p) / (100 + p) of both sizes together.
+    """
+    apart = reduce(
+        add,
+        (
+            F.bit_count(F.get("l.parity", F.lit(k)).bitwiseXOR(F.get("r.parity", F.lit(k))))
+            for k in range(PARITY_BITS // 64)
+        ),
+    )
+    sizes = F.col("l.size") + F.col("r.size")
+    return apart * (100 + percent) <= sizes * (100 - percent)
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` whose whole sets have a Jaccard similarity of ``percent`` or more."""
     one = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
@@ -33,9 +61,17 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.filter(F.col("both") * 100 >= union * percent).select("a", "b")
 
 
-def _pairs(left: DataFrame, right: DataFrame, ordered: Column, close: Close, percent: int) -> DataFrame:
+def _pairs(
+    left: DataFrame,
+    right: DataFrame,
+    chosen: Column,
+    close: Close,
+    percent: int,
+    last: Column | None = None,
+) -> DataFrame:
     met = left.alias("l").join(right.alias("r"), "key")
-    met = met.filter(ordered & _may_link("l", "r", close, percent))
+    asked = chosen & _may_link("l", "r", close, percent)
+    met = met.filter(asked if last is None else asked & last)
     ends = (F.col("l.node"), F.col("r.node"))
     return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
@@ -50,8 +86,8 @@ def similar_links(
     """Links ``a, b`` that join all nodes which share a key and are similar.
 
     ``members`` has one row per node: ``node``, ``size`` of its set, ``sketch`` and
-    ``keys``. ``sets_of`` gives ``node, grams`` for a frame of nodes. Every link is
-    verified on whole sets; each pair of nodes under a common key with a Jaccard
+    ``keys``. ``sets_of`` gives ``node, grams, parity`` for a frame of nodes: the whole
+    sets and their ``parity_bitmap``. Every link is verified on whole sets; each pair of nodes under a common key with a Jaccard
     similarity of ``percent`` is linked or joined by other links. ``close`` may only
     refuse pairs of sketches that cannot be similar.
 
@@ -59,10 +95,11 @@ def similar_links(
     key a few hubs are compared with all others, first those nodes that stand
     under most of the crowded keys: the original of many variants is one of them.
     Then only nodes outside a key's largest component can add anything, and only
-    with nodes of other components; they are the next hubs, four times as many in
+    with nodes of other components; they are the next hubs, many times more in
     every round, until no key has nodes of two components that were not compared.
+    The parity bitmap of the whole set spares pairs too far apart the comparison.
     No pair is left out: a crowd of near copies takes a few comparisons a node, and
-    only a crowd under one key that is not similar at all takes all of them.
+    only nodes outside the largest component of a crowd are held against all of it.
     """
     keys = members.select("node", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = cut_lineage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
@@ -70,17 +107,19 @@ def similar_links(
     shared = cut_lineage(shared)
     few = shared.filter(F.col("n") <= crowded).drop("n")
     many = shared.filter(F.col("n") > crowded).drop("n")
-    pairs = cut_lineage(_pairs(few, few, F.col("l.node") < F.col("r.node"), close, percent))
+    pairs = _pairs(few, few, F.col("l.node") < F.col("r.node"), close, percent)
+    pairs = cut_lineage(pairs)
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(many.select("node"))
     sets = cut_lineage(sets_of(asked.distinct()))
     links = cut_lineage(_similar(pairs, sets, percent))
 
     hubs_a_key = FIRST_HUBS
-    many = many.withColumns({"root": F.col("node"), "stray": F.lit(True)})
+    many = many.join(sets.select("node", "parity"), "node")
+    many = cut_lineage(many.withColumns({"root": F.col("node"), "stray": F.lit(True)}))
     while not many.isEmpty():
         hubs = cut_lineage(_hubs(many, hubs_a_key))
         apart = F.col("l.root") != F.col("r.root")
-        pairs = _pairs(hubs, many, apart, close, percent)
+        pairs = _pairs(hubs, many, apart, close, percent, _few_apart(percent))
         links = cut_lineage(links.unionAll(_similar(pairs, sets, percent)))
         rest = many.join(hubs.select("key", "node"), ["key", "node"], "left_anti")
         many = _still_open(rest.drop("root", "stray"), component_roots(links))

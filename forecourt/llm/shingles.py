@@ -72,24 +72,31 @@ def row_key(docs: DataFrame) -> list[Column]:
 
 
 def sets_of_rows(docs: DataFrame, chosen: DataFrame, hashes_of, words: int) -> DataFrame:
-    """``node, grams``: the whole shingle sets of the rows ``doc_id, text_hash, node`` of ``chosen``."""
+    """``node, grams, parity``: the whole sets of the rows ``doc_id, text_hash, node`` of ``chosen``."""
 
     def collect(batches):
         for batch in batches:
             for rows in row_slices(batch, "__text"):
-                grams = [hashes_of(t, words).view(np.int64) for t in rows.column("__text").to_pylist()]
-                sizes = np.cumsum([0, *map(len, grams)], dtype=np.int32)
-                flat = np.concatenate(grams) if grams else np.zeros(0, np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
-                yield pa.record_batch({"node": rows.column("node"), "grams": lists})
+                found = [hashes_of(t, words) for t in rows.column("__text").to_pylist()]
+                grams = _long_lists([h.view(np.int64) for h in found])
+                parity = _long_lists([crowds.parity_bitmap(h) for h in found])
+                yield pa.record_batch(
+                    {"node": rows.column("node"), "grams": grams, "parity": parity}
+                )
 
     rows = docs.select(*row_key(docs), F.col("text").alias("__text")).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (
         F.col("d.text_hash") == F.col("c.text_hash")
     )
     texts = rows.join(chosen.alias("c"), same).select("node", "__text")
-    found = texts.mapInArrow(collect, "node bigint, grams array<bigint>")
-    return found.groupBy("node").agg(F.first("grams").alias("grams"))
+    found = texts.mapInArrow(collect, "node bigint, grams array<bigint>, parity array<bigint>")
+    return found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("grams", "parity")))
+
+
+def _long_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
 def near_copies(

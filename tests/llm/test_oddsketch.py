@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from forecourt.llm import oddsketch, shingles
+from forecourt.llm import crowds, oddsketch, shingles
 from tests.llm.conftest import AWKWARD
 from tests.llm.test_shingles import edited, variants
 from tests.llm.test_simhash import components
@@ -74,7 +74,17 @@ def test_sketches_estimate_high_similarities():
             apart = round(2000 * (1 - shared) / 2)
             one, other = hashes[apart:], hashes[: 2000 - apart]
             a, b = (oddsketch.odd_sketch(shingles.minimum_hashes(h)) for h in (one, other))
-            differing = int(np.bitwise_count(a ^ b).sum())
+            differing = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
             assert differing <= limit
             errors.append(oddsketch.estimate(differing) - (2000 - 2 * apart) / 2000)
         assert abs(np.mean(errors)) < 0.03
+
+
+def test_parity_bitmaps_never_refuse_a_similar_pair():
+    rng = np.random.default_rng(2)
+    for size in (1, 5, 150, 4000):
+        hashes = rng.integers(0, 2**64, size + size // 9, np.uint64)
+        one, other = hashes[:size], hashes[size // 9 :]
+        a, b = map(crowds.parity_bitmap, (one, other))
+        differing = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+        assert differing * 180 <= (len(one) + len(other)) * 20
