@@ -86,19 +86,20 @@ WITH d AS (
     SELECT row_no, count(DISTINCT place) AS n_repeat_words
     FROM (SELECT row_no, unnest(range(i, i + 5)) AS place FROM twice) GROUP BY row_no
 ), lines AS (
-    SELECT row_no, source, text, translate(trim(regexp_replace(line,
+    SELECT row_no, source, document, translate(trim(regexp_replace(line,
                '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')
                AS line,
            len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
-    FROM (SELECT row_no, source, text, unnest(lines) AS line FROM d)
+    FROM (SELECT row_no, source, coalesce(CAST(doc_id AS VARCHAR), 'text ' || text) AS document,
+                 unnest(lines) AS line FROM d)
 ), hosts AS (
-    SELECT source, count(DISTINCT text) AS total FROM lines GROUP BY source
+    SELECT source, count(DISTINCT document) AS total FROM lines GROUP BY source
 ), hot AS (
     SELECT c.source, c.line FROM (
-        SELECT source, line, count(DISTINCT text) AS n FROM lines GROUP BY source, line) AS c
+        SELECT source, line, count(DISTINCT document) AS n FROM lines GROUP BY source, line) AS c
     JOIN hosts AS h ON c.source IS NOT DISTINCT FROM h.source
-    WHERE c.n > 10 AND c.n > h.total * 0.05
+    WHERE c.n > 10 OR (h.total < 200 AND 100 * c.n > 5 * h.total AND c.n > 2)
 ), lost AS (
     SELECT row_no, CAST(sum(n) AS BIGINT) AS removed_words
     FROM lines JOIN hot ON lines.line = hot.line AND lines.source IS NOT DISTINCT FROM hot.source
