@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import row_slices
+from forecourt.llm.common import helper_prefix, row_slices
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -215,6 +215,7 @@ def find_overlaps(
 ) -> DataFrame:
     """``docs`` with the spans of benchmark windows in each text, in new last columns.
 
+    The names start with ``helper_prefix``, ``__`` unless a column has that.
     ``__words``: the text's words; ``__spans``: disjoint spans of word places
     inside any occurrence of a window, in order; ``__items``: sorted ids of the
     items that have such a window. A window is ``window`` words in a row of an
@@ -227,12 +228,12 @@ def find_overlaps(
     words are cut into shards, one pass through the workers each, so memory
     does not grow with the benchmark.
     """
-    names = docs.columns
+    names, p = docs.columns, helper_prefix(docs.columns)
     out = docs.withColumns(
         {
-            "__words": F.lit(0).cast("int"),
-            "__spans": F.array().cast(_SPANS),
-            "__items": F.array().cast("array<string>"),
+            f"{p}words": F.lit(0).cast("int"),
+            f"{p}spans": F.array().cast(_SPANS),
+            f"{p}items": F.array().cast("array<string>"),
         }
     )
     spark = docs.sparkSession
@@ -248,8 +249,8 @@ def find_overlaps(
                 for rows in row_slices(batch, "text"):
                     counts, all_spans, all_items = [], [], []
                     texts = rows.column("text").to_pylist()
-                    before = rows.column("__spans").to_pylist()
-                    had = rows.column("__items").to_pylist()
+                    before = rows.column(f"{p}spans").to_pylist()
+                    had = rows.column(f"{p}items").to_pylist()
                     for text, spans_before, items_before in zip(texts, before, had, strict=True):
                         words = words_of(text)
                         spans, items = automaton.matches(words)
@@ -269,7 +270,7 @@ def find_overlaps(
                             pa.array(all_spans, _SPAN_TYPE),
                             pa.array(all_items, pa.list_(pa.string())),
                         ],
-                        names=[*names, "__words", "__spans", "__items"],
+                        names=[*names, f"{p}words", f"{p}spans", f"{p}items"],
                     )
 
         out = out.mapInArrow(scan, schema)
@@ -308,12 +309,12 @@ def decontaminate(
     Shorter spans stay; by default there are none, as a whole item of few words
     is a span too. Null texts stay null.
     """
-    found = find_overlaps(docs, benchmark, window, shard_words)
-    spans = F.filter("__spans", lambda s: s["stop"] - s["start"] >= min_span)
-    found = found.withColumn("__spans", spans)
-    hit = F.aggregate("__spans", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
+    found, p = find_overlaps(docs, benchmark, window, shard_words), helper_prefix(docs.columns)
+    spans = F.filter(f"{p}spans", lambda s: s["stop"] - s["start"] >= min_span)
+    found = found.withColumn(f"{p}spans", spans)
+    hit = F.aggregate(f"{p}spans", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
     names = docs.columns
-    found = found.filter(hit <= F.lit(max_coverage) * F.col("__words"))
+    found = found.filter(hit <= F.lit(max_coverage) * F.col(f"{p}words"))
 
     def cut(batches):
         for batch in batches:
@@ -322,7 +323,7 @@ def decontaminate(
                     text if not spans else cut_spans(text, [(s["start"], s["stop"]) for s in spans])
                     for text, spans in zip(
                         rows.column("text").to_pylist(),
-                        rows.column("__spans").to_pylist(),
+                        rows.column(f"{p}spans").to_pylist(),
                         strict=True,
                     )
                 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.functions.workspace import cut_lineage, scratch_path
 
-__all__ = ["corpus_table", "cut_lineage", "open_input", "open_output", "row_slices", "scratch_path", "share_code"]
+__all__ = ["corpus_table", "cut_lineage", "helper_prefix", "open_input", "open_output", "row_slices", "scratch_path", "share_code", "spread_files"]
 
 SLICE_CHARS = 2_000_000
 
@@ -30,6 +30,14 @@ def corpus_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def helper_prefix(columns: Iterable[str]) -> str:
+    """A prefix that no column has, for helper columns beside those of the caller."""
+    prefix = "__"
+    while any(name.lower().startswith(prefix) for name in columns):
+        prefix += "_"
+    return prefix
+
+
 def row_slices(
     batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS
 ) -> Iterator[pa.RecordBatch]:
@@ -49,6 +57,15 @@ def row_slices(
         yield batch.slice(start)
 
 
+def spread_files(listed: DataFrame, most: int = 10_000) -> DataFrame:
+    """A list of files dealt evenly to a task each (to ``most`` tasks, if there are more).
+
+    The number is given, so that adaptive execution does not gather the few small
+    rows, behind each of which stands a large file, in one task again.
+    """
+    return listed.repartition(max(1, min(listed.count(), most)))
+
+
 def _place(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import cut_lineage
+from forecourt.llm.common import cut_lineage, helper_prefix
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -17,7 +17,7 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_DOCUMENTS = 10
-MAX_SHARE = 0.05
+SMALL_HOST, SMALL_PERCENT, SMALL_LEAST = 200, 5, 2
 LEAST_LEFT = 0.2
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -44,7 +44,7 @@ def _keys(docs: DataFrame) -> list[Column]:
     """Two columns that rows share only if id, text and source are equal."""
     return [
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("__id"),
-        F.xxhash64("text", F.col("source").cast("string")).alias("__same"),
+        F.xxhash64("text", F.col("source").cast("string"), F.col("doc_id").isNull()).alias("__same"),
     ]
 
 
@@ -100,7 +100,9 @@ def base_measures(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """``__id, __same, source, text_hash, line, line_words``: each distinct line of a row once.
+    """``__id, __same, source, document, line, line_words``: each distinct line of a row once.
+
+    Rows with one ``doc_id`` are one ``document``, and those without one if their texts are equal.
 
     ``line`` is a hash of the normalised line, ``line_words`` the words of all
     its occurrences in the text. Lines without a word are left out.
@@ -115,32 +117,39 @@ def document_lines(docs: DataFrame) -> DataFrame:
         docs.select(
             *_keys(docs),
             F.col("source").cast("string").alias("source"),
-            F.xxhash64("text").alias("text_hash"),
+            F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text")))
+            .alias("document"),
             F.posexplode(lines).alias("place", "item"),
         )
-        .groupBy("__id", "__same", "source", "text_hash", F.col("item.h").alias("line"), "place")
+        .groupBy("__id", "__same", "source", "document", F.col("item.h").alias("line"), "place")
         .agg(F.first("item.n").cast("bigint").alias("n"))
-        .groupBy("__id", "__same", "source", "text_hash", "line")
+        .groupBy("__id", "__same", "source", "document", "line")
         .agg(F.sum("n").alias("line_words"))
     )
 
 
 def frequent_lines(
-    lines: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE
+    lines: DataFrame,
+    min_documents: int = MIN_DOCUMENTS,
+    small_host: int = SMALL_HOST,
+    small_percent: int = SMALL_PERCENT,
+    small_least: int = SMALL_LEAST,
 ) -> DataFrame:
     """``host, line``: lines in more documents of their host than the limit.
 
-    The limit is ``max_share`` of the host's documents, ``min_documents`` at
-    least. Documents with the same text count once, so that copies, which are
-    not boilerplate, don't make each other's lines frequent.
+    The limit is ``min_documents``, however large the host is. In hosts of fewer
+    than ``small_host`` documents lines in more than ``small_percent`` of them, and
+    in more than ``small_least`` documents, are frequent too. Documents are counted
+    by their ids, so copies count.
     """
-    counts = lines.groupBy("source", "line").agg(F.count_distinct("text_hash").alias("n"))
-    hosts = lines.groupBy("source").agg(F.count_distinct("text_hash").alias("all"))
+    counts = lines.groupBy("source", "line").agg(F.count_distinct("document").alias("n"))
+    hosts = lines.groupBy("source").agg(F.count_distinct("document").alias("all"))
     hosts = hosts.select(F.col("source").alias("host"), "all")
+    share = (F.col("all") < small_host) & (F.col("n") * 100 > F.col("all") * small_percent)
     return (
-        counts.filter(F.col("n") > min_documents)
+        counts.filter(F.col("n") > min(min_documents, small_least))
         .join(hosts, F.col("source").eqNullSafe(F.col("host")))
-        .filter(F.col("n") > F.col("all") * max_share)
+        .filter((F.col("n") > min_documents) | (share & (F.col("n") > small_least)))
         .select("host", "line")
     )
 
@@ -190,16 +199,23 @@ def judge(docs: DataFrame, least_left: float = LEAST_LEFT, **limits) -> DataFram
 
 
 def clean(docs: DataFrame, least_left: float = LEAST_LEFT, **limits) -> DataFrame:
-    """The kept rows of ``docs`` without their frequent lines; other columns pass through."""
-    lost = _lost_lines(docs, **limits)
-    rows = docs.select("*", *_keys(docs)).join(lost, ["__id", "__same"], "left")
+    """The kept rows of ``docs`` without their frequent lines.
+
+    Other columns pass through, whatever their names.
+    """
+    p = helper_prefix(docs.columns)
+    names = {"__id": f"{p}id", "__same": f"{p}same", "lost": f"{p}lost", "lost_words": f"{p}lost_words"}
+    lost = _lost_lines(docs, **limits).withColumnsRenamed(names)
+    id_, same = _keys(docs)
+    rows = docs.select("*", id_.alias(f"{p}id"), same.alias(f"{p}same"))
+    rows = rows.join(lost, [f"{p}id", f"{p}same"], "left")
     lines = F.filter(
         F.split("text", "\n"),
-        lambda line: ~F.array_contains("lost", F.xxhash64(normal_line(line))),
+        lambda line: ~F.array_contains(f"{p}lost", F.xxhash64(normal_line(line))),
     )
-    shorter = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+    shorter = F.when(F.col(f"{p}lost").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
     n_words = F.size(_words(_text()))
-    left = n_words - F.coalesce("lost_words", F.lit(0))
+    left = n_words - F.coalesce(f"{p}lost_words", F.lit(0))
     return rows.filter((left >= MIN_WORDS) & (left >= n_words * least_left)).select(
         *(shorter.alias("text") if name == "text" else F.col(name) for name in docs.columns)
     )

@@ -24,6 +24,17 @@ def docs_of(spark):
     return make
 
 
+def with_clashes(docs):
+    """Extra columns named like the helper columns that operators might add."""
+    names = (
+        "__id __same __key __words __items __spans __passes __text __lang ___id lost lost_words "
+        "node size rank root key host line n"
+    ).split()
+    from pyspark.sql import functions as F
+
+    return docs.withColumns({n: F.lit("own") for n in names})
+
+
 AWKWARD = [
     (1, None),
     (2, ""),

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from forecourt.llm import automaton, linefreq
-from tests.llm.conftest import AWKWARD
+from tests.llm.conftest import AWKWARD, with_clashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -136,6 +136,38 @@ def quality_rows():
     return rows
 
 
+def test_clashing_columns_pass_through(docs_of, benchmark):
+    docs = with_clashes(docs_of(TEXTS))
+    for found in (automaton.decontaminate(docs, benchmark, min_span=5, max_coverage=1.0), linefreq.clean(docs)):
+        assert found.columns == docs.columns
+        assert {(r["__id"], r["lost"], r["__items"], r["size"]) for r in found.collect()} == {("own",) * 4}
+
+
+def letters(number):
+    """A word without digits, as lines are compared with all digits alike."""
+    return "".join(chr(97 + int(d)) for d in str(number))
+
+
+def test_the_limit_of_lines_does_not_grow_with_the_host(docs_of):
+    line = "the same notice is on all these pages"
+    for host_size in (50, 400, 3000):
+        rows = [
+            (i, f"{' '.join(f'w{letters(i)}x{letters(k)}' for k in range(20))}\n{line if i < 11 else ''}", "h")
+            for i in range(host_size)
+        ]
+        found = linefreq.judge(docs_of(rows)).filter("removed_words > 0").count()
+        assert found == 11
+        fewer = [(i, t if i < 10 else t.replace(line, ""), s) for i, t, s in rows]
+        assert linefreq.judge(docs_of(fewer)).filter("removed_words > 0").count() == (10 if host_size < 200 else 0)
+
+
+def test_copies_count_by_their_ids(docs_of):
+    copies = [(i, "one two three four five six\nseven eight nine ten eleven", "h") for i in range(11)]
+    rows = copies + [(1000 + i, f"{letters(i)} x{letters(i)} " * 8, "h") for i in range(300)]
+    found = {r["doc_id"]: r["removed_words"] for r in linefreq.judge(docs_of(rows)).collect()}
+    assert all(found[i] == 11 for i in range(11)) and not any(v for k, v in found.items() if k >= 1000)
+
+
 def test_quality_measures(docs_of):
     rows = quality_rows()
     found = linefreq.judge(docs_of(rows)).collect()
@@ -148,8 +180,8 @@ def test_quality_measures(docs_of):
         if row["doc_id"] and 100 <= row["doc_id"] < 160:
             assert row["removed_words"] == 11
             assert row["kept"] == bool(row["doc_id"] % 2)
-        elif row["doc_id"] and row["doc_id"] >= 200:
-            assert row["removed_words"] == 0
+        elif row["doc_id"] and 200 <= row["doc_id"] < 300:  # forty documents, if equal ones
+            assert row["removed_words"] == row["n_words"] and not row["kept"]
 
 
 def test_cleaned_texts(docs_of):
