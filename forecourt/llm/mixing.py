@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import cut_lineage, row_slices
+from forecourt.llm.common import cut_lineage, helper_prefix, row_slices
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -33,21 +33,18 @@ def targets_of(
     What a capped source can't take goes to the others by weight, until none is
     above its cap.
     """
-    goal = share * sum(sizes)
-    open_ = [i for i, w in enumerate(weights) if w > 0]
     found = [0.0] * len(sizes)
-    left = goal
-    while open_:
-        total = sum(weights[i] for i in open_)
-        full = [i for i in open_ if left * weights[i] / total > cap * sizes[i]]
-        if not full:
-            for i in open_:
-                found[i] = left * weights[i] / total
+    left, total = share * sum(sizes), sum(w for w in weights if w > 0)
+    # Those with the least room for their weight are full first.
+    order = sorted((i for i, w in enumerate(weights) if w > 0), key=lambda i: sizes[i] / weights[i])
+    for place, i in enumerate(order):
+        if left * weights[i] <= cap * sizes[i] * total:
+            for other in order[place:]:
+                found[other] = left * weights[other] / total
             break
-        for i in full:
-            found[i] = float(cap * sizes[i])
-            left -= found[i]
-        open_ = [i for i in open_ if i not in set(full)]
+        found[i] = float(cap * sizes[i])
+        left -= found[i]
+        total -= weights[i]
     return found
 
 
@@ -167,7 +164,7 @@ def plan_mix(
     mixed = F.xxhash64("doc_id", "size", F.lit(seed))
     placed = cut_lineage(
         known.select(
-            "doc_id",
+            F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no long beside a null
             "source",
             "size",
             "text_hash",
@@ -229,11 +226,12 @@ def plan_mix(
         placed.groupBy("source_no", "shard")
         .cogroup(dealt.groupBy("source_no", "shard"))
         .applyInPandas(take, _PLAN)
+        .withColumn("doc_id", F.col("doc_id").cast("bigint"))
     )
 
 
 _PLAN = (
-    "doc_id long, source string, size long, source_size long, target double, taken long, "
+    "doc_id string, source string, size long, source_size long, target double, taken long, "
     "text_hash long, passes int, spans array<struct<start: long, stop: long>>"
 )
 _PLAN_COLUMNS = [field.split()[0] for field in _PLAN.split(", ")][:9]
@@ -264,22 +262,24 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
     The columns are those of ``docs``; the ``text`` of such a row has a line for
     each run of words taken, and ``n_chars``, where present, counts it. Rows of
-    which nothing is taken go.
+    which nothing is taken go; repeated rows (equal id, text and source) are one
+    row; all other columns pass through, whatever their names.
     """
+    p = helper_prefix(docs.columns)
     plan = plan_mix(docs, **settings).filter("taken > 0").select(
-        F.coalesce("doc_id", F.lit(0)).alias("__id"),
-        F.xxhash64("text_hash", "source").alias("__same"),
-        F.col("passes").alias("__passes"),
-        F.col("spans").alias("__spans"),
+        F.coalesce("doc_id", F.lit(0)).alias(f"{p}id"),
+        F.xxhash64("text_hash", "source").alias(f"{p}same"),
+        F.col("passes").alias(f"{p}passes"),
+        F.col("spans").alias(f"{p}spans"),
     )
     names = docs.columns
     texts = docs.withColumns(
         {
-            "__id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
-            "__same": F.xxhash64(F.xxhash64("text"), F.col("source").cast("string")),
+            f"{p}id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
+            f"{p}same": F.xxhash64(F.xxhash64("text"), F.col("source").cast("string")),
         }
-    ).dropDuplicates(["__id", "__same"])
-    joined = texts.join(plan, ["__id", "__same"]).select(*names, "__passes", "__spans")
+    ).dropDuplicates([f"{p}id", f"{p}same"])
+    joined = texts.join(plan, [f"{p}id", f"{p}same"]).select(*names, f"{p}passes", f"{p}spans")
 
     def cut(batches):
         for batch in batches:
@@ -288,8 +288,8 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
                 for place, (text, passes, spans) in enumerate(
                     zip(
                         rows.column("text").to_pylist(),
-                        rows.column("__passes").to_pylist(),
-                        rows.column("__spans").to_pylist(),
+                        rows.column(f"{p}passes").to_pylist(),
+                        rows.column(f"{p}spans").to_pylist(),
                         strict=True,
                     )
                 ):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import open_input, open_output, row_slices, scratch_path
+from forecourt.llm.common import open_input, open_output, row_slices, scratch_path, spread_files
 from forecourt.llm.tokenizing import encoder
 
 # Fixed values of the file format.
@@ -225,8 +225,8 @@ def read_planes(manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files of a list.
 
     ``start`` counts the ids of all documents before it. One row per file meets
-    in a single task to add up the sizes; the files are read in parallel, one
-    chunk at a time.
+    in a single task to add up the sizes; the files are dealt to a task each, which
+    reads one chunk at a time.
     """
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select(
@@ -251,7 +251,7 @@ def read_planes(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield _rows(rows)
 
-    return placed.repartition(F.col("path")).mapInArrow(read, READ_BACK)
+    return spread_files(placed).mapInArrow(read, READ_BACK)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:

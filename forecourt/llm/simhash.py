@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import cut_lineage, row_slices
+from forecourt.llm.common import cut_lineage, helper_prefix, row_slices
 from forecourt.llm.components import component_roots
 
 SHINGLE_WORDS = 3
@@ -215,14 +215,15 @@ def one_per_component(docs: DataFrame, near=near_copies, **settings) -> DataFram
 
     Repeated rows of that id with the same text count as copies too: one of them
     stays. Rows without an id stay only if their component has no id at all, and
-    of equal texts among them one.
+    of equal texts among them one. Other columns pass through, whatever their names.
     """
+    p = helper_prefix(docs.columns)
 
     def key(text_hash: Column) -> Column:
         named = F.col("doc_id").cast("bigint").cast("string")
-        return F.coalesce(named, F.concat(F.lit("text "), text_hash)).alias("__key")
+        return F.coalesce(named, F.concat(F.lit("text "), text_hash)).alias(f"{p}key")
 
     kept = near(docs, **settings).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = cut_lineage(kept.select(key(F.col("text_hash"))).distinct())
-    rows = docs.select("*", key(F.xxhash64("text"))).join(keep, "__key", "left_semi")
-    return rows.dropDuplicates(["__key", "text"]).select(*docs.columns)
+    rows = docs.select("*", key(F.xxhash64("text"))).join(keep, f"{p}key", "left_semi")
+    return rows.dropDuplicates([f"{p}key", "text"]).select(*docs.columns)

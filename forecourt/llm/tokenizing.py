@@ -21,7 +21,8 @@ _PIECES = re.compile(
     r"|\s+(?!\S)"
     r"|\s+"
 )
-CACHED_PIECES = 500_000
+CACHED_PIECES = 150_000
+CACHED_LETTERS = 64
 
 _encoders: dict[str, "PieceEncoder"] = {}
 
@@ -43,7 +44,7 @@ class _Known(dict):
     def __missing__(self, piece: str) -> bytes:
         mapped = "".join(map(self.letters.__getitem__, piece.encode()))
         ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(mapped)])
-        if len(self) < self.bound:
+        if len(self) < self.bound and len(piece) <= CACHED_LETTERS:
             self[piece] = ids
         return ids
 

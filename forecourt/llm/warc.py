@@ -27,6 +27,7 @@ from forecourt.llm.common import (
     open_output,
     row_slices,
     scratch_path,
+    spread_files,
 )
 
 # Fixed values of the formats.
@@ -97,11 +98,11 @@ def build_record(record: Record, archived_at: str = ARCHIVED_AT) -> bytes:
 
 
 def train_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from sample records; empty if they are too few to train one."""
+    """A dictionary from sample records; where they are too few to train one, their last bytes."""
     try:
         return zstandard.train_dictionary(size, records).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(records)[-size:]
 
 
 class WarcWriter:
@@ -235,16 +236,16 @@ def sample_dictionary(
     max_bytes: int = SAMPLE_BYTES,
     size: int = DICTIONARY_BYTES,
 ) -> bytes:
-    """A dictionary from a bounded sample: up to ``records`` pages of up to ``max_bytes`` each.
+    """A dictionary from a bounded sample: the first ``max_bytes`` of up to ``records`` pages.
 
     Pages are taken by the least hashes of their ids, so reruns take the same
     ones; of rows with one id, one. The ids are chosen first, so that only the
     chosen pages (6.5 MB by default at most) reach the driver.
     """
-    short = pages.filter(F.octet_length("html") <= max_bytes).select(
+    short = pages.filter(F.octet_length("html") > 0).select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.col("url").cast("string").alias("url"),
-        "html",
+        F.left("html", F.lit(max_bytes)).alias("html"),
     )
     ids = short.filter("page_id is not null").select("page_id").distinct()
     chosen = cut_lineage(ids.orderBy(F.xxhash64("page_id"), "page_id").limit(records))
@@ -252,7 +253,7 @@ def sample_dictionary(
     rows.sort(key=lambda row: row["page_id"])
     samples = []
     for row in rows:
-        payload = row["html"].encode()
+        payload = row["html"].encode()[:max_bytes]
         digest = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
         record = Record(row["page_id"], "response", row["url"], len(payload), digest, None, payload)
         samples.append(build_record(record))
@@ -333,7 +334,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                     if rows:
                         yield _batch(rows, names, types)
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(read, READ_BACK)
+    return spread_files(manifest.select("path")).mapInArrow(read, READ_BACK)
 
 
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:

@@ -1,13 +1,14 @@
 """Operator 3: targets, quotas and what the mix takes."""
 
 import collections
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from forecourt.llm import mixing
-from tests.llm.conftest import AWKWARD
+from forecourt.llm import mixing, simhash
+from tests.llm.conftest import AWKWARD, with_clashes
 
 
 @settings(max_examples=200, deadline=None)
@@ -50,6 +51,30 @@ def rows_of(spark, n=400):
     ]
 
 
+def test_many_sources_have_targets_soon():
+    sizes = [(i * 7919) % 1000 for i in range(100_000)]
+    weights = [1 + i % 3 for i in range(100_000)]
+    start = time.perf_counter()
+    found = mixing.targets_of(sizes, weights)
+    assert time.perf_counter() - start < 2
+    assert sum(found) == pytest.approx(sum(sizes))
+
+
+def test_large_ids_beside_a_null(spark, docs_of):
+    ids = [2**60 + 1, 2**60 + 3, 2**60 + 5, 2**60 + 7, None]
+    rows = [(i, f"some words of text {n}", "a") for n, i in enumerate(ids)]
+    assert {r["doc_id"] for r in mixing.mix_report(docs_of(rows)).collect()} == set(ids)
+    assert {r["doc_id"] for r in mixing.mix(docs_of(rows)).collect()} == set(ids)
+
+
+def test_clashing_columns_pass_through(spark, docs_of):
+    docs = with_clashes(docs_of(rows_of(spark, 60)))
+    mixed, kept = mixing.mix(docs), simhash.one_per_component(docs)
+    for found in (mixed, kept):
+        assert found.columns == docs.columns
+        assert {(r["__id"], r["__passes"], r["__key"], r["node"]) for r in found.collect()} == {("own",) * 4}
+
+
 def test_sources_come_near_their_targets(spark, docs_of):
     rows = rows_of(spark)
     plan = mixing.plan_mix(docs_of(rows), shard_docs=30).collect()

@@ -12,6 +12,8 @@ from tokenizers import Tokenizer
 
 from forecourt.llm import lengths, planes
 from forecourt.llm.common import scratch_path
+from pyspark.sql import functions as F
+
 from forecourt.llm.tokenizing import encoder
 from tests.llm.conftest import AWKWARD
 
@@ -21,15 +23,22 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+ADDED = "<|endoftext|>"
 ALPHABET = "ab'sStTredvlm \n\t\r12²½_-.,!éßÀñŸ\"<|endoftext|>漢​\x85\x1c　\xa0"
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(st.text(alphabet=ALPHABET, max_size=50) | st.text(max_size=30), max_size=5))
+@given(
+    st.lists(
+        st.text(alphabet=ALPHABET, max_size=50)
+        | st.text(max_size=30)
+        | st.lists(st.sampled_from([ADDED, "a", " ", "é", "ab's", "<|", "\n"]), max_size=8).map("".join),
+        max_size=5,
+    )
+)
 def test_pieces_encode_like_the_whole_text(plain, texts):
     texts = [t for t in texts if t.encode("utf-8", "ignore").decode() == t]
     for text, ids in zip(texts, encoder(PATH).encode(texts), strict=True):
@@ -103,7 +112,9 @@ def test_small_files_are_many(spark, docs_of, plain):
     folder = scratch_path(spark, "small")
     manifest = planes.write_planes(docs, PATH, folder, kind="bit", chunk_ids=7, file_ids=20)
     assert manifest.count() >= 4
-    found = planes.read_planes(manifest).collect()
+    read = planes.read_planes(manifest)
+    assert read.select(F.spark_partition_id()).distinct().count() >= 4
+    found = read.collect()
     assert sorted(map(tuple, found), key=_order) == sorted(_expected(AWKWARD, plain), key=_order)
 
 

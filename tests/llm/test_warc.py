@@ -5,6 +5,7 @@ import io
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from forecourt.llm import warc
 from forecourt.llm.common import open_input, scratch_path
@@ -100,3 +101,22 @@ def test_a_damaged_payload_is_noticed():
 
 def test_no_pages(spark, pages):
     assert warc.archive_round_trip(spark, pages.limit(0)).collect() == []
+
+
+def test_large_pages_have_a_dictionary_and_readers_of_their_own(spark):
+    rows = [(i, f"http://x/{i}", "".join(f"<li>{i * k % 997} entry</li>" for k in range(6000))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    manifest = warc.write_archives(docs, scratch_path(spark, "large"), file_bytes=20_000)
+    paths = [r["path"] for r in manifest.collect()]
+    assert len(paths) >= 3
+    for path in paths:
+        with open_input(path) as file:
+            assert int.from_bytes(file.read(4), "little") == warc.SKIPPABLE_MAGIC
+    found = warc.read_archives(manifest)
+    assert found.select(F.spark_partition_id()).distinct().count() == len(paths)
+    assert {r["page_id"] for r in found.collect()} == set(range(12))
+
+
+def test_a_few_records_are_a_dictionary_of_their_own():
+    assert warc.train_dictionary([b"only one record"]) == b"only one record"
+    assert warc.train_dictionary([]) == b""
