@@ -6,15 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from forecourt.functions.workspace import cut_lineage
 from forecourt.operators.aggregates import repeated_keys
 from forecourt.operators.joins import spread_null_key
-from forecourt.schemas import KEYS
+from forecourt.schemas import KEYS, schema_of
 from forecourt.sources.tables import (
     PARTITION,
+    key_bucket,
+    key_entries,
     partition_value,
+    read_keys,
+    read_manifest,
     read_partitions,
     read_version,
     write_partitions,
@@ -100,15 +104,37 @@ def upsert_version(
 
 
 def touched_partitions(
-    target: DataFrame, batch: DataFrame, key: str, column: str, by_month: bool
+    known: DataFrame, batch: DataFrame, key: str, column: str, by_month: bool
 ) -> DataFrame:
-    """Partitions the batch falls in, or whose rows it replaces (their dates may differ)."""
+    """Partitions the batch falls in, or whose rows it replaces (their dates may differ).
+
+    ``known`` has keys and their partitions: the target, or what its index says.
+    """
     new = batch.select(partition_value(column, by_month).alias(PARTITION))
     keys = batch.select(F.col(key).alias("__key"))
-    old = target.join(keys, F.col(key) == F.col("__key"), "left_semi").select(PARTITION)
+    old = known.join(keys, F.col(key) == F.col("__key"), "left_semi").select(PARTITION)
     return new.union(old).distinct()
 
 
+def known_entries(
+    spark: SparkSession, root: str, table: str, batch: DataFrame, guard: Sequence[str]
+) -> DataFrame | None:
+    """Index entries of a table in the buckets of the batch's keys; None without an index.
+
+    Only those buckets are opened; their numbers are all that meets in the driver.
+    An index made for other ``guard`` columns is not used.
+    """
+    index = read_manifest(spark, root).get("keys")
+    if not index or index["guard"] != list(guard):
+        return None
+    key, schema, layers = KEYS[table], schema_of(table), index["layers"]
+    asked = {r[0] for r in batch.select(key_bucket(key)).distinct().collect()}
+    fields = StructType([schema[key]]).add(PARTITION, "string")
+    for column in guard:
+        fields = fields.add(schema[column])
+    return read_keys(spark, root, fields, {b: cs for b, cs in layers.items() if b in asked})
+
+
 def upsert_partitions(
     spark: SparkSession,
     root: str,
@@ -126,6 +152,11 @@ def upsert_partitions(
     partition, and a partition left without rows is gone. All of it becomes
     visible in one commit, with ``mark`` for what has been read; a run that dies
     before changes nothing and can be repeated.
+
+    Which rows the batch replaces, and whether they are newer, is looked up in the
+    key index of the table, in the buckets of the batch's keys; of the table itself
+    only the touched partitions are read. A table without an index (or one for
+    other ``guard`` columns) is scanned once for its keys and has one from then on.
     """
     key = KEYS[table]
     value = partition_value(column, by_month)
@@ -135,16 +166,24 @@ def upsert_partitions(
         require_unique_keys(batch, key)
     target = read_partitions(spark, root, table)
     if target is None:
-        write_partitions(batch, root, value, mark=mark)
+        entries = key_entries(batch, key, value, guard)
+        write_partitions(batch, root, value, mark=mark, keys=entries)
         return []
+    known = known_entries(spark, root, table, batch, guard)
+    indexed = known is not None
+    known = known if indexed else target
     if guard:
-        batch = cut_lineage(drop_stale(batch, target, key, guard))
+        batch = cut_lineage(drop_stale(batch, known, key, guard))
     # One value per month or day: as many as there are folders, never per row.
-    touched = [r[0] for r in touched_partitions(target, batch, key, column, by_month).collect()]
+    touched = [r[0] for r in touched_partitions(known, batch, key, column, by_month).collect()]
     if not touched and mark is None:
         return []
+    entries = key_entries(batch, key, value, guard)
+    if not indexed:
+        others = without_keys(target, batch, key)
+        entries = key_entries(others, key, F.col(PARTITION), guard).unionByName(entries)
     inside = target.filter(F.col(PARTITION).isin(touched)).drop(PARTITION)
-    write_partitions(merge_rows(inside, batch, key), root, value, touched, mark)
+    write_partitions(merge_rows(inside, batch, key), root, value, touched, mark, entries)
     return touched
 
 

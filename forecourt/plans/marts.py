@@ -183,38 +183,36 @@ def mart_dealer_360(
     first_round: int | None = None,
 ) -> DataFrame:
     """Each dealer with lifetime revenue, subscriptions and listing engagement."""
-    known = F.col("dealer_id").isNotNull()
-    revenue = (
-        fact_revenue.filter(known)
+    invoice, listing = F.lit("invoice"), F.lit("listing")
+    stacked = [
+        fact_revenue.select(
+            "dealer_id", invoice.alias("kind"), "invoice_amount", "invoice_date"
+        ),
+        fact_subscription.select("dealer_id", "subscription_status", "product_id", "discount_pct"),
+        fact_listing_performance.select(
+            "dealer_id", listing.alias("kind"), "listing_status", "views", "clicks", "leads",
+            "last_event_at",
+        ),
+    ]
+    # A measure is NULL in the rows of the other facts, which all its aggregates pass over.
+    measures = (
+        stack(stacked)
+        .filter(F.col("dealer_id").isNotNull())
         .groupBy("dealer_id")
         .agg(
             sum_money(F.col("invoice_amount")).alias("lifetime_revenue_eur"),
-            F.count(F.lit(1)).alias("invoice_count"),
+            count_where(F.col("kind") == invoice).alias("invoice_count"),
             F.max("invoice_date").alias("last_invoice_date"),
-        )
-    )
-    subscriptions = (
-        fact_subscription.filter(known)
-        .groupBy("dealer_id")
-        .agg(
             count_where(is_active(F.col("subscription_status"))).alias("active_subscriptions"),
             F.countDistinct("product_id").alias("product_count"),
             mean_decimal(F.col("discount_pct"), "decimal(12,4)").alias("avg_discount_pct"),
-        )
-    )
-    listings = (
-        fact_listing_performance.filter(known)
-        .groupBy("dealer_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_listings"),
+            count_where(F.col("kind") == listing).alias("total_listings"),
             count_where(is_active(F.col("listing_status"))).alias("active_listings"),
             *[F.sum(c).alias(c) for c in ("views", "clicks", "leads")],
             F.max("last_event_at").alias("last_engagement_at"),
         )
     )
-    rows = dim_dealer
-    for measures in (revenue, subscriptions, listings):
-        rows = rows.join(measures, "dealer_id", "left")
+    rows = dim_dealer.join(measures, "dealer_id", "left")
     zero = {
         "lifetime_revenue_eur": "decimal(18,2)",
         "avg_discount_pct": "decimal(12,4)",

@@ -7,7 +7,9 @@ Two layouts, both safe against a job that dies half way:
   old one until the new one is complete;
 * partitioned tables write the partitions they replace into a folder of the commit
   (``commit=N/part=…``) and then publish, by one rename, a small file that names
-  the folder of every partition; readers open exactly the folders it names.
+  the folder of every partition; readers open exactly the folders it names. It also
+  names the folders of a key index (``keys/commit=N/bucket=…``): the partition and
+  change time of every key, by which a batch finds the rows it replaces.
 
 On a catalog with row-level operations (Iceberg, Delta) use
 ``operators.upsert.merge_into_catalog`` instead.
@@ -16,16 +18,19 @@ On a catalog with row-level operations (Iceberg, Delta) use
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StructType
 
 from forecourt.schemas import schema_of
 
 PARTITION = "part"
+BUCKET = "bucket"
+KEY_BUCKETS = 64
+KEY_LAYERS = 8
 
 
 def _fs(spark: SparkSession, path: str):
@@ -108,12 +113,20 @@ def read_manifest(spark: SparkSession, root: str) -> dict | None:
 
 
 def publish(
-    spark: SparkSession, root: str, number: int, parts: Mapping[str, int], mark: str | None
+    spark: SparkSession,
+    root: str,
+    number: int,
+    parts: Mapping[str, int],
+    mark: str | None,
+    keys: Mapping | None = None,
 ) -> None:
     """Make a commit visible by one rename of a small file; fails if its number is taken."""
     fs, target = _fs(spark, f"{root}/_commits/{number:012d}.json")
     aside = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_commits/.{number:012d}.{uuid4().hex}")
-    text = json.dumps({"parts": dict(parts), "mark": mark}, sort_keys=True)
+    content = {"parts": dict(parts), "mark": mark}
+    if keys is not None:
+        content["keys"] = dict(keys)
+    text = json.dumps(content, sort_keys=True)
     stream = fs.create(aside, False)
     try:
         stream.write(bytearray(text.encode()))
@@ -130,6 +143,7 @@ def write_partitions(
     value: Column,
     replace: Iterable[str] | None = None,
     mark: str | None = None,
+    keys: DataFrame | None = None,
 ) -> None:
     """Replace partitions in one commit: all those in ``replace``, or those with new rows.
 
@@ -138,6 +152,8 @@ def write_partitions(
     write that died leaves a folder that is never read. A partition in ``replace``
     that gets no rows is gone. ``mark`` is kept with the commit (the last one
     stays if it is None), so that a resume rule can't run ahead of the data.
+    ``keys`` are the new entries of the key index (``key_entries``), part of the same
+    commit; a table written without them has no index any more.
 
     The rebalance hint gathers the rows of a partition and lets AQE cut a
     partition that holds much of the data into several tasks and files.
@@ -158,25 +174,91 @@ def write_partitions(
     gone = set(written if replace is None else replace)
     parts = {p: c for p, c in last["parts"].items() if p not in gone}
     parts |= dict.fromkeys(written, number)
-    publish(spark, root, number, parts, last["mark"] if mark is None else mark)
+    index = None if keys is None else _write_keys(keys, root, number, last.get("keys"))
+    publish(spark, root, number, parts, last["mark"] if mark is None else mark, index)
     _remove_unread(spark, root)
 
 
+def key_bucket(key: str) -> Column:
+    """Bucket of the key index that a key belongs to."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("string")
+
+
+def key_entries(rows: DataFrame, key: str, value: Column, guard: Sequence[str]) -> DataFrame:
+    """What the index says of rows: key, partition, and the columns by which they are newer."""
+    return rows.select(F.col(key), value.alias(PARTITION), *guard, key_bucket(key).alias(BUCKET))
+
+
+def _newest(entries: DataFrame, key: str) -> DataFrame:
+    """The entry of the last commit for each key."""
+    rest = [c for c in entries.columns if c not in (key, "commit")]
+    last = entries.groupBy(key).agg(F.max_by(F.struct(*rest), "commit").alias("last"))
+    return last.select(key, *[F.col(f"last.{c}").alias(c) for c in rest])
+
+
+def read_keys(
+    spark: SparkSession, root: str, rows: StructType, layers: Mapping[str, list[int]]
+) -> DataFrame:
+    """The newest index entries in the named buckets (bucket to commits); no others are opened.
+
+    ``rows`` has the key first, then the columns of ``key_entries`` but the bucket.
+    """
+    schema = StructType([*rows.fields]).add("commit", IntegerType()).add(BUCKET, "string")
+    folders = [f"{root}/keys/commit={c}/{BUCKET}={b}" for b, cs in layers.items() for c in cs]
+    if not folders:
+        return spark.createDataFrame([], rows)
+    read = spark.read.schema(schema).option("basePath", f"{root}/keys")
+    return _newest(read.parquet(*folders).drop(BUCKET), rows.fields[0].name)
+
+
+def _write_keys(keys: DataFrame, root: str, number: int, last: Mapping | None) -> dict:
+    """Add a layer of entries to their buckets: ``layers`` (bucket to commits, oldest first).
+
+    A bucket of ``KEY_LAYERS`` layers is written anew as one, so that a look-up
+    opens a bounded number of files, and a batch mostly writes its own keys only.
+    Entries with other ``guard`` columns than before begin a new index.
+    """
+    spark, folder = keys.sparkSession, f"{root}/keys/commit={number}"
+    guard = [c for c in keys.columns[1:] if c not in (PARTITION, BUCKET)]
+    layers = last["layers"] if last and last["guard"] == guard else {}
+    full = {b: cs for b, cs in layers.items() if len(cs) >= KEY_LAYERS}
+    rows = keys
+    if full:
+        columns = StructType([f for f in keys.schema.fields if f.name != BUCKET])
+        old = read_keys(spark, root, columns, full)
+        old = old.withColumns({BUCKET: key_bucket(keys.columns[0]), "commit": F.lit(0)})
+        both = old.unionByName(keys.withColumn("commit", F.lit(1)))
+        rows = _newest(both, keys.columns[0]).select(*keys.columns)
+    key = keys.columns[0]
+    rows.repartition(F.col(BUCKET)).sortWithinPartitions(BUCKET, key).write.partitionBy(
+        BUCKET
+    ).parquet(folder)
+    found = {b: list(cs) for b, cs in layers.items()}
+    for name in child_folders(spark, folder):
+        bucket = name.split("=", 1)[1]
+        found[bucket] = [*([] if bucket in full else found.get(bucket, [])), number]
+    return {"guard": guard, "layers": found}
+
+
 def _remove_unread(spark: SparkSession, root: str, keep: int = 2) -> None:
     """Remove partitions that only commits before the last ``keep`` refer to, and those commits."""
     numbers = _manifests(spark, root)
-    used = {
-        (part, commit)
-        for n in numbers[-keep:]
-        for part, commit in _manifest(spark, root, n)["parts"].items()
-    }
+    used = {folder for n in numbers[-keep:] for folder in _folders(_manifest(spark, root, n))}
     for n in numbers[:-keep]:
-        for part, commit in _manifest(spark, root, n)["parts"].items():
-            if (part, commit) not in used:
-                remove_folder(spark, f"{root}/commit={commit}/{PARTITION}={part}")
+        for folder in _folders(_manifest(spark, root, n)):
+            if folder not in used:
+                remove_folder(spark, f"{root}/{folder}")
         remove_folder(spark, f"{root}/_commits/{n:012d}.json")
 
 
+def _folders(manifest: Mapping) -> list[str]:
+    """Every folder that a commit refers to, below the table's."""
+    layers = (manifest.get("keys") or {"layers": {}})["layers"]
+    return [f"commit={c}/{PARTITION}={p}" for p, c in manifest["parts"].items()] + [
+        f"keys/commit={c}/{BUCKET}={b}" for b, commits in layers.items() for c in commits
+    ]
+
+
 def partition_folders(spark: SparkSession, root: str) -> dict[str, str]:
     """Folder of each partition in the newest commit."""
     found = read_manifest(spark, root)

@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from forecourt.operators.upsert import upsert_partitions
 from forecourt.plans.staging import STAGES, stage
 from forecourt.schemas import RAW_EVENTS
 from forecourt.sources.raw import LINES_FILES, either_name, with_source_file
-from forecourt.sources.tables import child_folders
 
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SPEC = STAGES["stg_engagement_events"]
 
 
@@ -43,30 +40,25 @@ def append_once(
 ) -> StreamingQuery:
     """Append each event to ``out`` the first time it comes, then stop when all is read.
 
-    There is no watermark, so an event counts as new however late it is; repeats
-    are looked for among the keys of all earlier batches, of which only these
-    columns are read. Rows with a NULL in a key are told apart like others. A
-    micro-batch owns one folder, which a repetition writes again from the same
-    files, so a crash neither loses nor doubles rows.
+    The keys seen so far are Spark's keyed state, on disk beside the executors
+    (RocksDB) and in the checkpoint: a micro-batch looks up its own keys and reads
+    no earlier batch, so its cost does not grow with their number. There is no
+    watermark, so an event counts as new however late it is and no key is ever
+    forgotten; the state grows with the distinct keys. Rows with a NULL in a key
+    are told apart like others. A micro-batch owns one folder, which a repetition
+    writes again from the same files and the state before it, so a crash neither
+    loses nor doubles rows. The number of state partitions is that of the shuffle
+    when the checkpoint is made.
     """
     spark = raw.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
 
     def append(batch: DataFrame, number: int) -> None:
-        fresh = batch.dropDuplicates(list(keys))
-        earlier = [
-            f"{out}/{name}"
-            for name in child_folders(spark, out)
-            if name.startswith("batch=") and int(name.split("=", 1)[1]) < number
-        ]
-        if earlier:
-            seen = spark.read.schema(batch.schema).parquet(*earlier)
-            seen = seen.select(*[F.col(k).alias(f"__{k}") for k in keys])
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-            fresh = fresh.join(seen, same, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
-        raw.writeStream.foreachBatch(append)
+        raw.dropDuplicates(list(keys))
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -168,6 +168,53 @@ def test_a_write_that_dies_changes_nothing(spark, folder, monkeypatch):
     assert tables.read_manifest(spark, folder)["mark"] == "2024-02-05"
 
 
+def opened(df):
+    return {f.split("/keys/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def test_a_batch_opens_the_index_buckets_of_its_keys_only(spark, folder):
+    put(spark, folder, *[invoice(f"i{n}", date(2024, 1 + n % 12, 5)) for n in range(300)])
+    batch = frame(spark, INVOICES, invoice("i7", date(2024, 3, 1)), invoice("new", date(2024, 4, 1)))
+    known = upsert.known_entries(spark, folder, INVOICES, batch, ())
+    assert 1 <= len(opened(known)) <= 2
+    assert ("i7", "2024-08-01") in rows(known)
+    touched = put(spark, folder, invoice("i7", date(2024, 3, 1)), invoice("new", date(2024, 4, 1)))
+    assert sorted(touched) == ["2024-03-01", "2024-04-01", "2024-08-01"]
+    found = {r[0]: r[2] for r in stored(spark, folder)}
+    assert len(found) == 301 and found["i7"] == "2024-03-01"
+
+
+def test_the_index_says_what_the_table_holds_after_many_commits(spark, folder, monkeypatch):
+    monkeypatch.setattr(tables, "KEY_BUCKETS", 2)
+    monkeypatch.setattr(tables, "KEY_LAYERS", 3)
+    for turn in range(9):
+        put(spark, folder, *[invoice(f"i{n}", date(2024, 1 + (n + turn) % 3, 5)) for n in range(turn, turn + 6)])
+        layers = tables.read_manifest(spark, folder)["keys"]["layers"]
+        assert all(len(commits) <= 3 for commits in layers.values())
+    everything = tables.read_partitions(spark, folder, INVOICES)
+    known = upsert.known_entries(spark, folder, INVOICES, everything, ())
+    assert rows(known) == rows(everything, "invoice_id", "part")
+
+
+def test_the_index_guards_against_older_rows_and_follows_the_guard(spark, folder):
+    guard = ("updated_at",)
+    old, new = (
+        frame(spark, INVOICES, invoice("a", date(2024, month, 5), status, date(2024, month, 5)))
+        for month, status in ((1, "OPEN"), (2, "PAID"))
+    )
+
+    def put_frame(batch, guard):
+        return upsert.upsert_partitions(spark, folder, INVOICES, batch, "invoice_date", True, guard)
+
+    put_frame(new, guard)
+    assert put_frame(old, guard) == []
+    assert sorted(put_frame(old, ())) == ["2024-01-01", "2024-02-01"]  # without a guard it replaces
+    assert stored(spark, folder) == [("a", "OPEN", "2024-01-01")]
+    put_frame(new, guard)  # the index of other guard columns is made anew
+    assert tables.read_manifest(spark, folder)["keys"]["guard"] == ["updated_at"]
+    assert put_frame(old, guard) == [] and stored(spark, folder) == [("a", "PAID", "2024-02-01")]
+
+
 def test_a_commit_number_is_published_once(spark, folder):
     put(spark, folder, invoice("a", date(2024, 1, 5)))
     with pytest.raises(RuntimeError, match="another run"):

@@ -6,7 +6,7 @@ from conftest import rows
 
 from forecourt.plans.layers import Lake, stage_events
 from forecourt.sources.raw import RAW_FOLDERS
-from forecourt.streaming.events import read_event_stream, stage_event_stream
+from forecourt.streaming.events import append_once, read_event_stream, stage_event_stream
 
 EVENTS = "stg_engagement_events"
 COLUMNS = ("event_id", "event_timestamp", "event_date", "device")
@@ -74,3 +74,24 @@ def test_lookback_takes_events_up_to_two_days_late(spark, folder):
     deliver(raw, "2024-01-07", "late", event("three days", "2024-01-07T00:00:00"))
     stage_events(lake)
     assert [r[0] for r in rows(lake.table(EVENTS), "event_id")] == ["a", "two days"]
+
+
+def test_repeats_are_found_over_restarts_without_reading_earlier_batches(spark, folder):
+    raw, out, progress = f"{folder}/raw", f"{folder}/out", f"{folder}/progress"
+    path = f"{raw}/{RAW_FOLDERS[EVENTS]}"
+    known = []
+    for turn in range(4):
+        deliver(
+            raw, f"2024-01-0{turn + 1}", f"f{turn}",
+            event("always", "2024-01-01T00:00:00"), event("always", "2024-01-01T00:00:00"),
+            event(f"new {turn}", "2024-01-01T00:00:00"), event(None, "2024-01-01T00:00:00"),
+        )
+        query = append_once(read_event_stream(spark, path), out, progress)
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]
+        known.append((state["numRowsTotal"], state["numRowsUpdated"]))
+        for batch in os.listdir(out)[:-1]:  # a micro-batch needs none of the earlier ones
+            assert batch.startswith("batch=")
+    found = [r[0] for r in rows(spark.read.parquet(out), "event_id")]
+    assert found == sorted([None, "always", *(f"new {t}" for t in range(4))], key=repr)
+    assert known == [(3, 3), (4, 1), (5, 1), (6, 1)]
