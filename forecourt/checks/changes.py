@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from forecourt.checks.staging import LINEAGE
 from forecourt.functions.keys import month_start
 from forecourt.functions.workspace import cut_lineage, scratch_path
 from forecourt.operators import incremental, upsert
+from forecourt.plans import facts, intermediate, refresh
 from forecourt.plans.layers import Lake, stage_events
 from forecourt.plans.staging import STAGES, stage
 from forecourt.sources import tables
@@ -347,4 +349,43 @@ def _(m: LensModels) -> DataFrame:
     return read_partitions(m.spark, root, INVOICES).select("invoice_id", "invoice_date", "part")
 
 
+@case(
+    "revenue_by_touched_month",
+    """SELECT invoice_id, CAST(invoice_date AS VARCHAR) AS invoice_date, dealer_key, product_key,
+              CAST(contract_price AS DOUBLE) AS contract_price
+       FROM fact_revenue""",
+    "fact_revenue",
+)
+def _(m: LensModels) -> DataFrame:
+    """The fact of all but the last two days, with old prices, brought up to date by month."""
+    root, table = scratch_path(m.spark, "revenue"), "fact_revenue"
+    last = m.staged_invoices.agg(F.date_sub(F.max("invoice_date"), 2)).first()[0]
+    new = F.col("invoice_date") > F.lit(last)
+    repriced = F.col("subscription_start_date") > F.date_sub(F.lit(last), 60)
+
+    def build(subscriptions: DataFrame, rows: DataFrame) -> DataFrame:
+        enriched = intermediate.int_invoice_enriched(
+            rows, subscriptions, m.contracts, m.accounts, m.products
+        )
+        return facts.fact_revenue(enriched, m.dim_date, m.dim_dealer, m.dim_product)
+
+    current = m.staged_subscriptions
+    stale = current.withColumn("contract_price", F.when(~repriced, F.col("contract_price")))
+    nothing = {"invoice_id": m.staged_invoices.select("invoice_id").limit(0)}
+    before = m.staged_invoices.filter(~new | F.col("invoice_date").isNull())
+    refresh.refresh_months(
+        root, table, "invoice_id", "invoice_date", before, partial(build, stale), nothing
+    )
+    changed = {
+        "invoice_id": m.staged_invoices.filter(new).select("invoice_id"),
+        "subscription_id": current.filter(repriced).select("subscription_id"),
+    }
+    refresh.refresh_months(
+        root, table, "invoice_id", "invoice_date", m.staged_invoices, partial(build, current), changed
+    )
+    return read_partitions(m.spark, root, table).select(
+        "invoice_id", "invoice_date", "dealer_key", "product_key", "contract_price"
+    )
+
+
 QUERIES, ORACLES = cases.queries, cases.oracles

@@ -20,7 +20,7 @@ from forecourt.functions.measures import (
     per_entity,
     ratio_pct,
 )
-from forecourt.operators import aggregates, catalogue, incremental, joins, paging
+from forecourt.operators import aggregates, catalogue, incremental, joins, paging, ranges
 from forecourt.operators.latest import latest_record_wins
 from forecourt.plans.dimensions import calendar
 from forecourt.plans.facts import with_date_keys
@@ -194,6 +194,28 @@ def _(m: LensModels) -> DataFrame:
     return catalogue.effective_on(m.prices, date(1996, 6, 1)).select("price_id")
 
 
+@case(
+    "effective_price_at_event",
+    """SELECT invoice_id, price_id, CAST(list_price AS DOUBLE) AS list_price,
+              CAST(invoice_amount AS DOUBLE) AS invoice_amount
+       FROM int_invoice_enriched AS i LEFT JOIN prices AS p
+         ON i.product_id = p.product_id AND i.market = p.market AND i.segment = p.dealer_segment
+        AND i.invoice_date BETWEEN p.effective_from AND ifnull(p.effective_to, DATE '9999-12-31')""",
+    "int_invoice_enriched",
+    "prices",
+)
+def _(m: LensModels) -> DataFrame:
+    """Each invoice with the list price in force on its day."""
+    return ranges.join_valid(
+        m.int_invoice_enriched,
+        m.int_price_book,
+        "invoice_date",
+        on={"product_id": "product_id", "market": "market", "segment": "dealer_segment"},
+        take={"price_id": "price_id", "list_price": "list_price"},
+        how="left",
+    ).select("invoice_id", "price_id", "list_price", "invoice_amount")
+
+
 @case(
     "updated_since",
     "SELECT price_id FROM prices WHERE updated_at >= DATE '1996-03-01'",

@@ -60,6 +60,8 @@ def page_slice(df: DataFrame, order: Sequence[str], page: int, size: int) -> Dat
 def paged_envelopes(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     """One JSON text per page: ``{page, page_size, total_records, total_pages, data}``.
 
+    Beside ``page`` and ``raw_json`` there is ``n_records``, the records on the page.
+
     A page holds at most ``size`` records, so no group grows with the data.
     """
     numbered = with_row_number(df, order)
@@ -76,5 +78,7 @@ def paged_envelopes(df: DataFrame, order: Sequence[str], size: int) -> DataFrame
         F.col("rows.record").alias("data"),
     )
     return pages.select(
-        "page", F.to_json(envelope, {"ignoreNullFields": "false"}).alias("raw_json")
+        "page",
+        F.to_json(envelope, {"ignoreNullFields": "false"}).alias("raw_json"),
+        F.size("rows").cast("bigint").alias("n_records"),
     )

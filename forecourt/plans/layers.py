@@ -26,6 +26,13 @@ RAW_NAMES = {
 }
 
 
+FACT_DAYS = {
+    "fact_revenue": "invoice_date",
+    "fact_subscription": "subscription_start_date",
+    "fact_listing_performance": "listing_start_date",
+}
+
+
 class Lake:
     """Locations of the raw files and of the curated tables."""
 
@@ -44,12 +51,18 @@ class Lake:
         return f"{self.table_root}/{table}"
 
     def found(self, table: str) -> DataFrame | None:
-        if table in STAGES and STAGES[table].partition_column:
+        if self.partition_column(table):
             rows = read_partitions(self.spark, self.path(table), table)
         else:
             rows = read_version(self.spark, self.path(table), table)
         return None if rows is None else rows.select(*schema_of(table).names)
 
+    def partition_column(self, table: str) -> str | None:
+        """The day by which a table is partitioned: of a fact, once it has been refreshed by month."""
+        if table in FACT_DAYS:
+            return FACT_DAYS[table] if read_manifest(self.spark, self.path(table)) else None
+        return STAGES[table].partition_column if table in STAGES else None
+
     def table(self, name: str) -> DataFrame:
         rows = self.found(name)
         return self.spark.createDataFrame([], schema_of(name)) if rows is None else rows
@@ -66,15 +79,15 @@ class Lake:
     ) -> None:
         """Upsert rows that are unique by construction: staged rows are the latest of their
         key, later tables hang on keys that the staging gate has found unique."""
-        spec = STAGES.get(table)
-        if spec is not None and spec.partition_column:
+        column = self.partition_column(table)
+        if column:
             by_month = table != "stg_engagement_events"
             upsert_partitions(
                 self.spark,
                 self.path(table),
                 table,
                 rows,
-                spec.partition_column,
+                column,
                 by_month,
                 guard,
                 verify_keys=False,

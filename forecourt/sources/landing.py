@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions.keys import path_safe_run_id
@@ -26,7 +29,13 @@ from forecourt.operators.incremental import (
 )
 from forecourt.operators.paging import paged_envelopes
 from forecourt.sources.raw import LINES_FILES, partition_values
-from forecourt.sources.tables import path_exists
+from forecourt.sources.tables import (
+    child_folders,
+    data_files,
+    move_folder,
+    path_exists,
+    remove_folder,
+)
 
 # Batch and page sizes of the sources, and the form of a day folder.
 ROWS_PER_FILE = 10_000
@@ -65,16 +74,24 @@ def run_folder(spark: SparkSession, root: str, extract_date: str, run_id: str) -
     return f"{root}/extract_date={extract_date}/run_id={safe_run_id(spark, run_id)}"
 
 
-def land_json_lines(df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Gzip JSON lines, at most ``rows_per_file`` rows per file."""
+def land_json_lines(
+    df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE
+) -> tuple[int, int]:
+    """Gzip JSON lines, at most ``rows_per_file`` rows per file; the rows and files written.
+
+    Rows are counted as they are written, files by their folder's listing.
+    """
+    counted = Observation()
     encoded = df.select(*[json_value(df, c) for c in df.columns])
     (
-        encoded.write.mode("overwrite")
+        encoded.observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", rows_per_file)
         .option("ignoreNullFields", "false")
         .json(folder)
     )
+    return counted.get.get("rows", 0), len(data_files(df.sparkSession, folder))
 
 
 def write_manifest(spark: SparkSession, path: str, **values: object) -> None:
@@ -109,13 +126,6 @@ def _finish_again(spark: SparkSession, control: str, run: Row) -> None:
         commit_watermark(spark, control, run["dataset"], run["new_watermark"])
 
 
-def _lines_landed(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """Rows and files of a landed folder."""
-    files = F.count_distinct(F.col("_metadata.file_path"))
-    counted = spark.read.text(folder).agg(F.count(F.lit(1)), files).first()
-    return int(counted[0]), int(counted[1])
-
-
 def snapshot_extract(
     df: DataFrame, root: str, dataset: str, extract_date: str, run_id: str, manifests: str
 ) -> str:
@@ -124,8 +134,7 @@ def snapshot_extract(
     folder = run_folder(spark, root, extract_date, run_id)
     if finished_run(spark, manifests, dataset, extract_date, run_id) is not None:
         return folder
-    land_json_lines(df, folder)
-    records, parts = _lines_landed(spark, folder)
+    records, parts = land_json_lines(df, folder)
     write_manifest(
         spark,
         manifests,
@@ -166,8 +175,7 @@ def incremental_extract(
     folder = run_folder(spark, root, extract_date, run_id)
     # Sorting inside tasks keeps rows of a file in change order without a global sort.
     rows = changed_between(df, changed, low, high).sortWithinPartitions(changed)
-    land_json_lines(rows, folder)
-    records, parts = _lines_landed(spark, folder)
+    records, parts = land_json_lines(rows, folder)
     write_manifest(
         spark,
         manifests,
@@ -211,12 +219,13 @@ def land_pages(
     low = read_watermark(spark, control, dataset)
     rows = changed_since(df, changed, low)
     encoded = rows.select(*[json_value(rows, c) for c in rows.columns])
-    pages = paged_envelopes(encoded, order, page_size)
-    pages.select("raw_json").write.mode("overwrite").option("compression", "gzip").text(folder)
-    landed = spark.read.text(folder).select(
-        F.from_json("value", "data array<string>").data.alias("data")
+    counted = Observation()
+    pages = paged_envelopes(encoded, order, page_size).observe(
+        counted,
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias("records"),
+        F.count(F.lit(1)).alias("pages"),
     )
-    counted = landed.agg(F.coalesce(F.sum(F.size("data")), F.lit(0)), F.count(F.lit(1))).first()
+    pages.select("raw_json").write.mode("overwrite").option("compression", "gzip").text(folder)
     write_manifest(
         spark,
         manifests,
@@ -226,8 +235,8 @@ def land_pages(
         run_id=safe_run_id(spark, run_id),
         previous_watermark=low,
         new_watermark=started_at.isoformat(),
-        records=int(counted[0]),
-        parts=int(counted[1]),
+        records=counted.get.get("records", 0),
+        parts=counted.get.get("pages", 0),
     )
     commit_watermark(spark, control, dataset, started_at.isoformat(), started_at)
     return folder
@@ -261,13 +270,14 @@ def land_new_days(
     A day counts as landed once its row stands in the ledger, which is written
     last; a half-copied day is overwritten by the next run. Days landed before
     stay as they are, even if their source changed. With ``manifests``, each day
-    folder gets a row there: copied, skipped (landed before) or invalid (its name
-    is no day, or it has no file of lines).
+    folder gets a row there, after the copy and before the ledger: copied, with its
+    lines and files, skipped (landed before) or invalid (its name is no day, or it
+    has no file of lines). A run repeated after it died has its rows once.
     """
     days = new_days(spark, source, landed)
-    if manifests is not None:
-        _note_days(spark, source, landed, days, manifests, run_id)
     if not days:
+        if manifests is not None:
+            _note_days(spark, source, target, landed, days, manifests, run_id)
         return []
     lines = (
         spark.read.schema("value string, event_date string")
@@ -283,13 +293,21 @@ def land_new_days(
         .partitionBy("event_date")
         .text(target)
     )
+    if manifests is not None:
+        _note_days(spark, source, target, landed, days, manifests, run_id)
     ledger = spark.createDataFrame([(d,) for d in days], "event_date string")
     ledger.coalesce(1).write.mode("append").parquet(landed)
     return days
 
 
 def _note_days(
-    spark: SparkSession, source: str, landed: str, days: list[str], manifests: str, run_id: str
+    spark: SparkSession,
+    source: str,
+    target: str,
+    landed: str,
+    days: list[str],
+    manifests: str,
+    run_id: str,
 ) -> None:
     everything = partition_values(spark, source, "event_date")
     copied = F.col("event_date").isin(days)
@@ -306,18 +324,36 @@ def _note_days(
         F.col("event_date").alias("extract_date"),
         F.lit(run_id).alias("run_id"),
     )
+    if days:
+        lines = spark.read.schema("value string, event_date string").text(
+            [f"{target}/event_date={d}" for d in days]
+        )
+        day = F.regexp_extract(F.col("_metadata.file_path"), "event_date=([^/]*)/", 1)
+        copies = lines.groupBy(day.alias("day")).agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_distinct("_metadata.file_path").alias("parts"),
+        )
+        modes = modes.join(copies, F.col("extract_date") == F.col("day"), "left").drop("day")
     _append_manifests(modes, manifests)
 
 
 def _append_manifests(rows: DataFrame, path: str) -> None:
-    """Manifest rows from a frame that has some of their columns."""
+    """Manifest rows from a frame that has some of their columns, less those noted before."""
     typed = [part.split() for part in MANIFEST_SCHEMA.split(", ")]
-    rows.select(
+    new = rows.select(
         *[
             (F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
             for name, kind in typed
         ]
-    ).coalesce(1).write.mode("append").parquet(path)
+    )
+    if path_exists(spark := rows.sparkSession, path):
+        noted = spark.read.schema(MANIFEST_SCHEMA).parquet(path).alias("noted")
+        same = [
+            F.col(f"new.{c}").eqNullSafe(F.col(f"noted.{c}"))
+            for c in ("dataset", "run_id", "extract_date", "sha256", "mode")
+        ]
+        new = new.alias("new").join(noted, reduce(and_, same), "left_anti")
+    new.coalesce(1).write.mode("append").parquet(path)
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -333,27 +369,36 @@ def land_by_content(
 
     Returns the digests found at ``path``, one row per different content. With
     ``manifests``, each of them gets a row there: copied, or skipped.
+
+    Files are written aside, and each digest's folder is moved to its place whole,
+    so a folder that is there is complete; a run that dies leaves the rest to the
+    next one. The manifest comes last.
     """
     found = file_digests(spark, path).dropDuplicates(["sha256"])
     fresh = found
     if path_exists(spark, target):
         known = partition_values(spark, target, "sha256")
         fresh = found.join(known, "sha256", "left_anti")
+    aside = f"{target}/_aside-{uuid4().hex}"
+    (
+        fresh.select(F.decode("content", "UTF-8").alias("value"), "sha256")
+        .write.partitionBy("sha256")
+        .text(aside)
+    )
+    # As many folders as there are new planning files.
+    copied = [n for n in child_folders(spark, aside) if n.startswith("sha256=")]
+    for name in copied:
+        move_folder(spark, f"{aside}/{name}", f"{target}/{name}")
+    remove_folder(spark, aside)
     if manifests is not None:
-        copied = fresh.select(F.col("sha256").alias("new"))
-        noted = found.join(copied, F.col("sha256") == F.col("new"), "left").select(
+        new = F.col("sha256").isin([name.split("=", 1)[1] for name in copied])
+        noted = found.select(
             F.lit("sales_targets").alias("dataset"),
-            F.when(F.col("new").isNull(), "skipped").otherwise("copied").alias("mode"),
+            F.when(new, "copied").otherwise("skipped").alias("mode"),
             F.lit(run_id).alias("run_id"),
             "sha256",
         )
         _append_manifests(noted, manifests)
-    (
-        fresh.select(F.decode("content", "UTF-8").alias("value"), "sha256")
-        .write.mode("append")
-        .partitionBy("sha256")
-        .text(target)
-    )
     return found.select("sha256")
 
 

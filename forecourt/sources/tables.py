@@ -51,6 +51,20 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder that Spark reads."""
+    fs, jpath = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(jpath) if s.isFile()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; one that is there already stays as it is."""
+    fs, jpath = _fs(spark, path)
+    if not path_exists(spark, target):
+        fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(target))
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)

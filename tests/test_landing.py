@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import shutil
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -12,6 +13,7 @@ from forecourt.functions import workspace
 from forecourt.operators import incremental
 from forecourt.operators.unnest import unnest_records
 from forecourt.schemas import RAW_VEHICLES, TARGET_COLUMNS
+from forecourt.sources.tables import move_folder
 from forecourt.sources import landing, raw
 
 
@@ -113,6 +115,53 @@ def test_days_without_lines_stay_open(spark, folder):
     ]
 
 
+def test_days_are_noted_after_the_copy_and_once(spark, folder, monkeypatch):
+    src, dst, ledger, notes = (f"{folder}/{n}" for n in "sdln")
+    put_day(src, "2024-01-01", {"event_id": "1"}, {"event_id": "2"})
+    with monkeypatch.context() as m:  # dies between the copy and its manifest
+        m.setattr(landing, "_note_days", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            landing.land_new_days(spark, src, dst, ledger, notes, "r1")
+    assert not os.path.exists(notes)
+    landing.land_new_days(spark, src, dst, ledger, notes, "r1")
+    shutil.rmtree(ledger)  # died between its manifest and its ledger
+    landing.land_new_days(spark, src, dst, ledger, notes, "r1")
+    manifests = spark.read.schema(landing.MANIFEST_SCHEMA).parquet(notes)
+    assert rows(manifests, "mode", "records", "parts") == [("copied", 2, 1)]
+
+
+def test_content_lands_whole_before_its_manifest(spark, folder, monkeypatch):
+    src, dst, notes = (f"{folder}/{n}" for n in "sdn")
+    os.makedirs(src)
+    for name in ("a", "b"):
+        with open(f"{src}/{name}.csv", "w") as f:
+            f.write(f"x\n{name}")
+    moves = []
+
+    def move(spark, path, target):
+        if moves:
+            raise OSError("lost")
+        moves.append(move_folder(spark, path, target))
+
+    with monkeypatch.context() as m:  # dies between two moves
+        m.setattr(landing, "move_folder", move)
+        with pytest.raises(OSError):
+            landing.land_by_content(spark, src, dst, notes, "r1")
+    assert not os.path.exists(notes)
+    assert landing.land_by_content(spark, src, dst, notes, "r1").count() == 2
+    lines = spark.read.text(dst)
+    assert rows(lines, "value") == [("a",), ("b",), ("x",), ("x",)]
+    manifests = spark.read.schema(landing.MANIFEST_SCHEMA).parquet(notes)
+    assert rows(manifests, "mode") == [("copied",), ("skipped",)]
+
+
+def test_an_empty_table_lands_with_no_records(spark, folder):
+    empty = source(spark, ("a", datetime(2024, 1, 1))).filter("id = 'none'")
+    landing.snapshot_extract(empty, folder, "d", "2024-01-01", "r1", f"{folder}/m")
+    manifest = spark.read.schema(landing.MANIFEST_SCHEMA).parquet(f"{folder}/m")
+    assert rows(manifest, "records") == [(0,)]
+
+
 def test_pages_land_and_come_back(spark, folder):
     df = spark.range(250).select(
         F.lpad(F.col("id").cast("string"), 4, "0").alias("id"),
