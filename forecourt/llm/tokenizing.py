@@ -21,7 +21,7 @@ _PIECES = re.compile(
     r"|\s+(?!\S)"
     r"|\s+"
 )
-CACHED_PIECES = 150_000
+CACHED_PIECES = 400_000
 CACHED_LETTERS = 64
 
 _encoders: dict[str, "PieceEncoder"] = {}
