@@ -116,12 +116,17 @@ def wrong_count(df: DataFrame, expected: int, name: str) -> DataFrame:
     return check(name, df, F.abs(F.count(F.lit(1)) - F.lit(expected)))
 
 
-def unresolved_keys(df: DataFrame, keys: Mapping[str, str], name: str) -> DataFrame:
-    """Fact rows with a business key or date but without its surrogate."""
+def unresolved(keys: Mapping[str, str]) -> Column:
+    """Whether a row has a business key or date but lacks its surrogate."""
     missing = F.lit(False)
     for natural, surrogate in keys.items():
         missing = missing | (F.col(natural).isNotNull() & F.col(surrogate).isNull())
-    return check(name, df, F.count_if(missing))
+    return missing
+
+
+def unresolved_keys(df: DataFrame, keys: Mapping[str, str], name: str) -> DataFrame:
+    """Fact rows with a business key or date but without its surrogate."""
+    return check(name, df, F.count_if(unresolved(keys)))
 
 
 def other_currency(df: DataFrame, name: str = "revenue_other_currency") -> DataFrame:
@@ -137,53 +142,100 @@ def raw_checks(raw: Frames) -> DataFrame:
     return stack_all(parts)
 
 
-def primary_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows without a key and keys held by several rows, added up over tables.
-
-    Both come from one count per key, so each table is scanned once.
-    """
-    per_table = []
-    for df, key in tables.values():
-        counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-        per_table.append(
-            counts.agg(
-                F.sum(F.when(F.col("key").isNull(), F.col("rows")).otherwise(0)).alias("nulls"),
-                F.count_if(F.col("rows") > 1).alias("repeats"),
-            )
-        )
-    sums = stack_all(per_table).agg(F.sum("nulls").alias("nulls"), F.sum("repeats").alias("repeats"))
-    named = {"null_primary_keys": "nulls", "duplicate_primary_keys": "repeats"}
+def one_row_per_check(sums: DataFrame, names: list[str]) -> DataFrame:
+    """One row with a number per check, turned into rows of checks."""
     checks = [
         F.struct(
             F.lit(name).alias("check_name"),
-            F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("bad_rows"),
+            F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias("bad_rows"),
         )
-        for name, c in named.items()
+        for name in names
     ]
     return sums.select(F.inline(F.array(*checks)))
 
 
+def key_uses(staged: Frames) -> tuple[DataFrame, dict[str, tuple[str, int]]]:
+    """Every key value of every staging table, with its use, and the use of each foreign key.
+
+    A domain is a table's key. Use 0 is the key itself; uses 1, 2, … are the
+    columns that point to it, numbered within the domain. A table is scanned
+    once, whatever the number of its key columns.
+    """
+    tables = {t: key for t, key in KEYS.items() if t.startswith("stg_")}
+    uses: dict[str, tuple[str, int]] = {}
+    for name, (_, _, parent) in FOREIGN_KEYS.items():
+        uses[name] = (parent, 1 + sum(domain == parent for domain, _ in uses.values()))
+    parts = []
+    for table, key in tables.items():
+        columns = [(table, 0, key)]
+        columns += [(*uses[n], c) for n, (child, c, _) in FOREIGN_KEYS.items() if child == table]
+        marked = [
+            F.struct(
+                F.lit(domain).alias("domain"),
+                F.lit(use).alias("use"),
+                F.col(column).cast("string").alias("key"),
+            )
+            for domain, use, column in columns
+        ]
+        parts.append(staged[table].select(F.inline(F.array(*marked))))
+    return stack_all(parts), uses
+
+
 def staging_checks(staged: Frames) -> DataFrame:
-    tables = [t for t in KEYS if t.startswith("stg_")]
-    parts = [primary_keys({t: (staged[t], KEYS[t]) for t in tables})]
-    for name, (child, key, parent) in FOREIGN_KEYS.items():
-        parts.append(orphan_rows(staged[child], key, staged[parent], KEYS[parent], name))
-    return stack_all(parts)
+    """Missing keys, repeated keys and orphans of all staging tables from one grouping.
+
+    The rows of a key are counted by use, combined map-side, so a key that fills
+    a third of a table meets its parent as one row per task. A key without a row
+    of use 0 has no parent, and all its other rows are orphans. Rows without a
+    key point to nothing and are no orphans.
+    """
+    stacked, uses = key_uses(staged)
+    slots = range(max(use for _, use in uses.values()) + 1)
+    per_key = stacked.groupBy("domain", "key").agg(
+        *[F.count_if(F.col("use") == use).alias(f"use_{use}") for use in slots]
+    )
+    own, no_key = F.col("use_0"), F.col("key").isNull()
+    orphaned = ~no_key & (own == 0)
+    sums = per_key.agg(
+        F.sum(F.when(no_key, own)).alias("null_primary_keys"),
+        F.count_if(own > 1).alias("duplicate_primary_keys"),
+        *[
+            F.sum(F.when(orphaned & (F.col("domain") == domain), F.col(f"use_{use}"))).alias(name)
+            for name, (domain, use) in uses.items()
+        ],
+    )
+    return one_row_per_check(sums, ["null_primary_keys", "duplicate_primary_keys", *uses])
 
 
 def analytics_checks(tables: Frames) -> DataFrame:
-    def repeats(names: tuple[str, ...], name: str) -> DataFrame:
-        return total(name, stack_all([duplicate_keys(tables[t], KEYS[t], t) for t in names]))
+    """Repeated keys and unresolved references of dimensions, facts and marts.
 
-    parts = [
-        repeats(DIMENSIONS, "dimension_duplicate_keys"),
-        repeats(FACTS, "fact_duplicate_keys"),
-    ]
-    parts += [
-        unresolved_keys(tables[t], keys, f"{t}_unresolved_keys") for t, keys in FACT_KEYS.items()
-    ]
-    parts += [duplicate_keys(tables[t], KEYS[t], name) for t, name in CHECKED_MARTS.items()]
-    return stack_all(parts)
+    Both numbers of a fact come from one count per key, so each table is scanned once.
+    """
+    parts = []
+    for table in (*DIMENSIONS, *FACTS, *CHECKED_MARTS):
+        df = tables[table].select("*", unresolved(FACT_KEYS.get(table, {})).alias("__unresolved"))
+        per_key = df.groupBy(KEYS[table]).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if("__unresolved").alias("unresolved")
+        )
+        parts.append(
+            per_key.agg(
+                F.count_if(F.col("rows") > 1).alias("repeats"),
+                F.sum("unresolved").alias("unresolved"),
+            ).select(F.lit(table).alias("table"), "repeats", "unresolved")
+        )
+    of = F.col("table")
+    repeats = {
+        "dimension_duplicate_keys": of.isin(*DIMENSIONS),
+        "fact_duplicate_keys": of.isin(*FACTS),
+        **{name: of == mart for mart, name in CHECKED_MARTS.items()},
+    }
+    lost = {f"{fact}_unresolved_keys": of == fact for fact in FACT_KEYS}
+    sums = stack_all(parts).agg(
+        *[F.sum(F.when(where, F.col("repeats"))).alias(n) for n, where in repeats.items()],
+        *[F.sum(F.when(where, F.col("unresolved"))).alias(n) for n, where in lost.items()],
+    )
+    return one_row_per_check(sums, [*repeats, *lost])
 
 
 class QualityError(RuntimeError):

@@ -1,10 +1,14 @@
+from collections import Counter
+
 import pytest
-from conftest import DATA, rows
+from conftest import DATA, plan_of, rows
 from pyspark.sql import functions as F
 
 from forecourt.checks.frames import LensModels
 from forecourt.checks.gates import staged_frames
+from forecourt.functions.workspace import cut_lineage
 from forecourt.plans import quality
+from forecourt.schemas import KEYS
 
 
 def test_clean_tables_pass(spark):
@@ -21,6 +25,44 @@ def test_each_planted_defect_is_counted(spark):
         assert found["duplicate_primary_keys"] == (1 if child == "stg_commercial_accounts" else 3)
 
 
+def test_each_planted_analytics_defect_is_counted(spark):
+    m = LensModels(spark, DATA)
+    names = [t for t in KEYS if t.startswith(("dim_", "fact_", "mart_"))]
+    tables = {t: cut_lineage(getattr(m, t)) for t in names}
+    empty = {t: df.limit(0) for t, df in tables.items()}
+
+    def found(**changed):
+        checks = quality.analytics_checks({**empty, **changed})
+        return {name: n for name, n in rows(checks, "check_name", "bad_rows") if n}
+
+    assert found() == {}
+    names = dict.fromkeys(quality.DIMENSIONS, "dimension_duplicate_keys")
+    names |= dict.fromkeys(quality.FACTS, "fact_duplicate_keys") | quality.CHECKED_MARTS
+    few = {t: tables[t].orderBy(KEYS[t]).limit(2) for t in names}
+    counts = found(**{t: df.unionAll(df) for t, df in few.items()})
+    planted = Counter(names.values())
+    assert {name: counts[name] for name in planted} == {n: 2 * k for n, k in planted.items()}
+    for place in range(3):
+        bare = {}
+        for fact, keys in quality.FACT_KEYS.items():
+            kinds = {s: tables[fact].schema[s].dataType for s in keys.values()}
+            held = {s: F.lit(1).cast(kind) for s, kind in kinds.items()}
+            natural, surrogate = list(keys.items())[place]
+            held[surrogate] = F.lit(None).cast(kinds[surrogate])
+            row = tables[fact].filter(F.col(natural).isNotNull()).limit(1)
+            bare[fact] = row.withColumns(held)
+        assert found(**bare) == {f"{fact}_unresolved_keys": 1 for fact in bare}
+
+
+def test_staging_gate_reads_each_table_once(spark):
+    staged = staged_frames(LensModels(spark, DATA))
+    written = {table: cut_lineage(df) for table, df in staged.items()}
+    plan = plan_of(quality.staging_checks(written))
+    plan = plan.split("Initial Plan")[-1]
+    assert plan.count("FileScan") == len(written)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_null_and_empty(spark):
     df = spark.createDataFrame([(None,), ("a",), (None,)], "k string")
     assert rows(quality.null_keys(df, "k", "n")) == [("n", 2)]
