@@ -20,6 +20,7 @@ from forecourt.functions.measures import (
     per_entity,
     ratio_pct,
 )
+from forecourt.functions.workspace import cut_lineage
 from forecourt.operators import aggregates, catalogue, incremental, joins, paging, ranges
 from forecourt.operators.latest import latest_record_wins
 from forecourt.plans.dimensions import calendar
@@ -698,6 +699,31 @@ def _(m: LensModels) -> DataFrame:
     return paging.page_slice(m.accounts.select("dealer_id"), ["dealer_id"], page=3, size=50)
 
 
+@case(
+    "page_slices_deep",
+    """WITH placed AS (
+           SELECT subscription_id, count(*) OVER () AS total,
+                  (row_number() OVER (ORDER BY updated_at, subscription_id) - 1) // 100 + 1 AS page
+           FROM subscriptions)
+       SELECT CAST(page AS BIGINT) AS page, subscription_id, total AS total_records,
+              (total + 99) // 100 AS total_pages
+       FROM placed
+       WHERE page IN (1, (total + 99) // 100 // 2, (total + 99) // 100)""",
+    "subscriptions",
+)
+def _(m: LensModels) -> DataFrame:
+    # The first, a middle, the last and a missing page, each found by narrowing.
+    rows, order = m.staged_subscriptions, ["updated_at", "subscription_id"]
+    rows = cut_lineage(rows.select("subscription_id", "updated_at"))
+    pages = -(-rows.count() // 100)
+
+    def one(page: int) -> DataFrame:
+        found = paging.page_slice(rows, order, page, 100, sort_at_most=1_000)
+        return found.drop("updated_at").withColumn("page", F.lit(page).cast("bigint"))
+
+    return joins.stack([one(page) for page in (1, pages // 2, pages, pages + 1)])
+
+
 # Set operations
 
 
