@@ -701,13 +701,11 @@ def _(m: LensModels) -> DataFrame:
 
 @case(
     "page_slices_deep",
-    """WITH placed AS (
-           SELECT subscription_id, count(*) OVER () AS total,
-                  (row_number() OVER (ORDER BY updated_at, subscription_id) - 1) // 100 + 1 AS page
-           FROM subscriptions)
-       SELECT CAST(page AS BIGINT) AS page, subscription_id, total AS total_records,
-              (total + 99) // 100 AS total_pages
-       FROM placed
+    """SELECT page, subscription_id, total AS total_records, (total + 99) // 100 AS total_pages
+       FROM (SELECT subscription_id, count(*) OVER () AS total,
+                    (row_number() OVER (ORDER BY updated_at, subscription_id) - 1) // 100 + 1
+                        AS page
+             FROM subscriptions)
        WHERE page IN (1, (total + 99) // 100 // 2, (total + 99) // 100)""",
     "subscriptions",
 )
