@@ -234,6 +234,29 @@ def mart_dealer_360(
     return conform(rows, "mart_dealer_360")
 
 
+def funnel_events(events: DataFrame, accounts: DataFrame) -> DataFrame:
+    """What the funnel counts of each event, with the market of its dealer."""
+    rows = lookup(
+        events.select("event_date", "event_type", "session_id", "listing_id", "dealer_id"),
+        accounts,
+        on={"dealer_id": "dealer_id"},
+        take={"market": "market"},
+    )
+    return rows.withColumn("market", or_unknown(F.col("market")))
+
+
+def funnel_rates(grouped: DataFrame, at: Stamp = None, first_round: int | None = None) -> DataFrame:
+    """Counts per month and market as rows of the funnel mart."""
+    rows = grouped.select(
+        "*",
+        hash_key("month_start", "market").alias("funnel_key"),
+        ratio_pct(F.col("clicks"), F.col("views"), first_round=first_round).alias("click_rate_pct"),
+        ratio_pct(F.col("leads"), F.col("views"), first_round=first_round).alias("lead_rate_pct"),
+        run_stamp(at).alias("refreshed_at"),
+    )
+    return conform(rows, "mart_marketplace_funnel_monthly")
+
+
 def mart_marketplace_funnel_monthly(
     events: DataFrame,
     accounts: DataFrame,
@@ -244,34 +267,14 @@ def mart_marketplace_funnel_monthly(
 ) -> DataFrame:
     """Views, clicks and leads per month and market, with what they touched."""
     rows = events if keep_null_months else events.filter(F.col("event_date").isNotNull())
-    rows = lookup(
-        rows.select("event_date", "event_type", "session_id", "listing_id", "dealer_id"),
-        accounts,
-        on={"dealer_id": "dealer_id"},
-        take={"market": "market"},
-    ).select(
-        "*",
-        month_start(F.col("event_date")).alias("month_start"),
-        or_unknown(F.col("market")).alias("market_name"),
-    )
     grouped = (
-        rows.groupBy("month_start", F.col("market_name").alias("market"))
+        funnel_events(rows, accounts)
+        .groupBy(month_start(F.col("event_date")).alias("month_start"), "market")
         .agg(
             *stage_counts(stages),
             F.countDistinct("session_id").alias("unique_sessions"),
             F.countDistinct("listing_id").alias("listings_with_activity"),
             F.countDistinct("dealer_id").alias("dealers_with_activity"),
         )
-        .select(
-            "*",
-            hash_key("month_start", "market").alias("funnel_key"),
-            ratio_pct(F.col("clicks"), F.col("views"), first_round=first_round).alias(
-                "click_rate_pct"
-            ),
-            ratio_pct(F.col("leads"), F.col("views"), first_round=first_round).alias(
-                "lead_rate_pct"
-            ),
-            run_stamp(at).alias("refreshed_at"),
-        )
     )
-    return conform(grouped, "mart_marketplace_funnel_monthly")
+    return funnel_rates(grouped, at, first_round)

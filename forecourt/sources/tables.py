@@ -18,7 +18,7 @@ On a catalog with row-level operations (Iceberg, Delta) use
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -282,14 +282,26 @@ def partition_folders(spark: SparkSession, root: str) -> dict[str, str]:
     }
 
 
+def read_parts(
+    spark: SparkSession,
+    root: str,
+    columns: StructType,
+    wanted: Callable[[str], bool] = lambda part: True,
+) -> DataFrame:
+    """Rows of the newest commit with their partition; only wanted partitions are opened."""
+    schema = StructType([*columns.fields]).add(PARTITION, "string").add("commit", IntegerType())
+    folders = [f for part, f in partition_folders(spark, root).items() if wanted(part)]
+    if not folders:
+        return spark.createDataFrame([], schema).drop("commit")
+    read = spark.read.schema(schema).option("basePath", root)
+    return read.parquet(*folders).drop("commit")
+
+
 def read_partitions(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """A partitioned table with its partition column; None before the first rows.
 
     Only folders named by the newest commit are opened.
     """
-    folders = partition_folders(spark, root)
-    if not folders:
+    if not partition_folders(spark, root):
         return None
-    schema = schema_of(table).add(PARTITION, "string").add("commit", IntegerType())
-    rows = spark.read.schema(schema).option("basePath", root).parquet(*folders.values())
-    return rows.drop("commit")
+    return read_parts(spark, root, schema_of(table))
