@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from forecourt.checks.cases import Cases
 from forecourt.checks.duck import half_up
 from forecourt.checks.frames import LensModels
-from forecourt.checks.rawrows import event_versions, line_versions, target_text, versions
+from forecourt.checks.rawrows import as_text, event_versions, line_versions, single_record_pages, target_text, versions
 from forecourt.functions.keys import month_start
 from forecourt.functions.measures import (
     count_where,
@@ -64,18 +64,28 @@ def _(m: LensModels) -> DataFrame:
     "typed_projection",
     """SELECT contract_id, CAST(contract_start_date AS VARCHAR) AS contract_start_date,
               CAST(contract_end_date AS VARCHAR) AS contract_end_date,
-              CAST(auto_renew AS VARCHAR) AS auto_renew
-       FROM contracts""",
+              CAST(auto_renew AS VARCHAR) AS auto_renew, status AS contract_status,
+              run_id AS source_run_id
+       FROM (SELECT *, contract_status AS status, 'run-1' AS run_id FROM contracts
+             UNION ALL SELECT *, 'DRAFT', 'run-0' FROM contracts)""",
     "contracts",
 )
 def _(m: LensModels) -> DataFrame:
-    # Malformed dates and booleans become NULL; the row stays.
-    raw = versions(m.contracts, "contracts").filter(F.col("contract_status") != "STALE")
-    record = F.struct(*m.contracts.columns)
-    page = F.to_json(F.struct(F.array(record).alias("data")), {"ignoreNullFields": "false"})
-    pages = raw.select(page.alias("raw_json"), "extract_date", "run_id")
-    typed = typed_rows(STAGES["stg_commercial_contracts"], pages)
-    return typed.select("contract_id", "contract_start_date", "contract_end_date", "auto_renew")
+    # Two versions of every contract and one without key. Malformed dates and booleans
+    # become NULL and the row stays; a row without key goes.
+    text = m.contracts.select(*[as_text(m.contracts, c).alias(c) for c in m.contracts.columns])
+    runs = {
+        "run-0": text.withColumn("contract_status", F.lit("DRAFT")),
+        "run-1": text,
+        "run-2": text.withColumn("contract_id", F.lit(None).cast("string")),
+    }
+    day = F.lit("2024-01-01").alias("extract_date")
+    raw = joins.stack([rows.select("*", day, F.lit(run).alias("run_id")) for run, rows in runs.items()])
+    typed = typed_rows(STAGES["stg_commercial_contracts"], single_record_pages(raw))
+    return typed.select(
+        "contract_id", "contract_start_date", "contract_end_date", "auto_renew",
+        "contract_status", "source_run_id",
+    )
 
 
 @case(
