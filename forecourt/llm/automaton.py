@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import helper_prefix, row_slices
+from forecourt.llm.common import (
+    cut_lineage,
+    helper_prefix,
+    list_files,
+    open_input,
+    row_slices,
+    scratch_path,
+)
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -177,34 +184,49 @@ def _join_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 _SPANS = "array<struct<start: int, stop: int>>"
 _SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-_automata: dict[str, SuffixAutomaton] = {}
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_automata: dict[tuple[str, int], SuffixAutomaton] = {}
 
 
-def _automaton(key: str, items, window: int) -> SuffixAutomaton:
-    """Built once in each worker process, from the words of one shard of items."""
+def _automaton(folder: str, window: int) -> SuffixAutomaton:
+    """Of one shard's files; a worker process keeps the last one it built, and no other."""
+    key = (folder, window)
     if key not in _automata:
         _automata.clear()
         _automata[key] = SuffixAutomaton(
-            ((item_id, words_of(text)) for item_id, text in items), window
+            (
+                (item_id, words_of(text))
+                for path in list_files(folder)
+                for item_id, text in _stored_items(path)
+            ),
+            window,
         )
     return _automata[key]
 
 
-def _shards(benchmark: DataFrame, words: int) -> list[list[tuple[str, str]]]:
-    """Items in shards of about so many words, a bounded share of memory each."""
+def _stored_items(path: str) -> Iterator[tuple[str, str]]:
+    with open_input(path) as file:
+        for batch in pq.ParquetFile(file).iter_batches(batch_size=1000):
+            yield from zip(*(batch.column(c).to_pylist() for c in ("id", "text")), strict=True)
+
+
+def write_shards(benchmark: DataFrame, shard_words: int) -> list[str]:
+    """Write the items to a folder per shard of about so many words; the folders.
+
+    Items are dealt by a hash, each whole, so one item may be larger than a shard is
+    meant to be. Only two totals reach the driver.
+    """
     items = benchmark.select(
-        F.col("item_id").cast("string").alias("__id"), F.col("text").alias("__text")
-    ).filter("__id is not null and __text is not null")
-    shards: list[list[tuple[str, str]]] = [[]]
-    held = 0
-    for item_id, text in items.orderBy("__id", "__text").toLocalIterator():
-        size = text.count(" ") + text.count("\n") + 1
-        if shards[-1] and held + size > words:
-            shards.append([])
-            held = 0
-        shards[-1].append((item_id, text))
-        held += size
-    return [shard for shard in shards if shard]
+        F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text")
+    ).filter("id is not null and text is not null")
+    n_items, words = items.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.regexp_count("text", F.lit(_WORD))), F.lit(0))
+    ).first()
+    shards = max(1, min(n_items, -(-words // shard_words)))
+    root = scratch_path(benchmark.sparkSession, "benchmark-shards")
+    shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards))
+    items.withColumn("shard", shard).repartition("shard").write.partitionBy("shard").parquet(root)
+    return [f"{root}/shard={i}" for i in range(shards)]
 
 
 def find_overlaps(
@@ -223,10 +245,11 @@ def find_overlaps(
     words; items without an id are left out; repeated items and rows are
     separate rows with equal results. Columns of ``docs`` pass through.
 
-    Each worker builds the automaton of the items once and streams the documents
-    through it: no shuffle, no join. Benchmarks of more than ``shard_words``
-    words are cut into shards, one pass through the workers each, so memory
-    does not grow with the benchmark.
+    Each worker builds the automaton of the items once, from files in the shared
+    folder, and streams the documents through it: no shuffle, no join. Benchmarks of
+    more than ``shard_words`` words are cut into shards, one pass over the documents
+    each. Between passes the rows are written to the shared folder, so a worker holds
+    one automaton at a time and memory does not grow with the benchmark.
     """
     names, p = docs.columns, helper_prefix(docs.columns)
     out = docs.withColumns(
@@ -236,14 +259,13 @@ def find_overlaps(
             f"{p}items": F.array().cast("array<string>"),
         }
     )
-    spark = docs.sparkSession
     schema = out.schema
-    for shard in _shards(benchmark, shard_words) or [[]]:
-        shared = spark.sparkContext.broadcast(shard)
-        key = hashlib.sha256(repr((window, shard)).encode()).hexdigest()
+    for number, folder in enumerate(write_shards(benchmark, shard_words)):
+        if number:
+            out = cut_lineage(out)
 
-        def scan(batches, shared=shared, key=key):
-            automaton = _automaton(key, shared.value, window)
+        def scan(batches, folder=folder):
+            automaton = _automaton(folder, window)
             ids = automaton.item_ids
             for batch in batches:
                 for rows in row_slices(batch, "text"):

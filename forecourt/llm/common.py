@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.functions.workspace import cut_lineage, scratch_path
 
-__all__ = ["corpus_table", "cut_lineage", "helper_prefix", "open_input", "open_output", "row_slices", "scratch_path", "share_code", "spread_files"]
+__all__ = ["corpus_table", "cut_lineage", "helper_prefix", "list_files", "open_input", "open_output", "row_slices", "scratch_path", "share_code", "spread_files"]
 
 SLICE_CHARS = 2_000_000
 
@@ -81,3 +81,10 @@ def open_input(uri: str):
     """A seekable binary file of a local, S3, GCS or HDFS folder."""
     system, path = _place(uri)
     return system.open_input_file(path)
+
+
+def list_files(uri: str) -> list[str]:
+    """Uris of the data files in a folder, in order of their names; none if there is no folder."""
+    system, path = _place(uri)
+    found = system.get_file_info(pafs.FileSelector(path, allow_not_found=True))
+    return [f"{uri}/{f.base_name}" for f in sorted(found, key=lambda f: f.path) if f.is_file and f.base_name[0] not in "._"]

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from forecourt.llm import automaton, linefreq
+from forecourt.llm.common import list_files
 from tests.llm.conftest import AWKWARD, with_clashes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -93,6 +94,22 @@ def test_overlap_report(docs_of, benchmark, shard_words):
     assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
 
 
+def test_items_are_dealt_to_shards_whole(benchmark):
+    folders = automaton.write_shards(benchmark, 3)
+    stored = [list(map(tuple, _items(f))) for f in folders]
+    items = [(i, t) for i, t in ITEMS if i is not None and t is not None]
+    assert sorted(sum(stored, [])) == sorted(items)
+    assert 1 < len(folders) <= len(items)
+    assert len(automaton.write_shards(benchmark, 1_000_000)) == 1
+    for folder in folders:  # a worker holds one automaton at a time
+        assert automaton._automaton(folder, 10) is automaton._automaton(folder, 10)
+        assert len(automaton._automata) == 1
+
+
+def _items(folder):
+    return [row for path in list_files(folder) for row in automaton._stored_items(path)]
+
+
 def test_decontaminated_texts(docs_of, benchmark):
     docs = docs_of(TEXTS)
     kept = automaton.decontaminate(docs, benchmark).collect()
