@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
 
@@ -65,6 +66,14 @@ def _averages(counts: np.ndarray) -> np.ndarray:
     return (counts / np.maximum(counts.sum(1, keepdims=True), 1)).astype(np.float32)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in two bytes each; larger ones are scaled together, which keeps their shares."""
+    most = counts.max(initial=0)
+    if most > 65_535:
+        counts = np.rint(counts * (65_535 / most))
+    return counts.astype("<u2").tobytes()
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     e = np.exp(logits - logits.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -72,14 +81,14 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Bucket embeddings, a linear layer, a temperature, and the score below which it rejects."""
+    """Bucket embeddings, a linear layer, a temperature, and each language's score below which it rejects."""
 
     languages: list[str]
     embeddings: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    thresholds: Sequence[float] = ()
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
         logits = _averages(counts) @ self.embeddings @ self.weights + self.bias
@@ -95,7 +104,7 @@ class LanguageModel:
             found = self.probabilities(np.stack([gram_counts(texts[i]) for i in rows]))
             best = found.argmax(1)
             for i, k, p in zip(rows, best.tolist(), found.max(1).tolist(), strict=True):
-                names[i], scores[i], accepted[i] = self.languages[k], p, p >= self.threshold
+                names[i], scores[i], accepted[i] = self.languages[k], p, p >= self.thresholds[k]
         return names, scores, accepted
 
 
@@ -113,9 +122,11 @@ def train(
 ) -> LanguageModel:
     """Fit on labelled counts by stochastic gradient descent, then calibrate on held-back rows.
 
-    The last ``CALIBRATION_SHARE`` of the rows set the temperature (least log
-    loss) and the threshold: the score that ``rejected_share`` of the rightly
-    named held-back texts stay below.
+    Rows come in the order of a hash. Every ``1 / CALIBRATION_SHARE``-th row of each
+    language is held back, so rare languages are calibrated too. These rows set the
+    temperature (least log loss) and each language's threshold: the score that
+    ``rejected_share`` of the texts rightly named so stay below. A language with
+    fewer than two such texts takes the threshold of all.
     """
     languages = sorted(set(labels))
     if not languages:
@@ -123,8 +134,8 @@ def train(
         return LanguageModel([], none, np.zeros((dimensions, 0)), np.zeros(0))
     target = np.array([languages.index(label) for label in labels])
     features = _averages(counts)
-    held = int(len(labels) * CALIBRATION_SHARE)
-    fit = np.arange(len(labels) - held)
+    held = _held_back(target, len(languages))
+    fit = np.flatnonzero(~held)
     rng = np.random.default_rng(seed)
     embeddings = rng.normal(0, 0.1, (features.shape[1], dimensions)).astype(np.float32)
     weights = rng.normal(0, 0.1, (dimensions, len(languages))).astype(np.float32)
@@ -147,12 +158,21 @@ def train(
             weights -= np.float32(0.1 * rate) * (hidden.T @ error)
             bias -= np.float32(0.1 * rate) * error.sum(0)
             embeddings -= np.float32(50 * rate) * (x.T @ back)
-    model = LanguageModel(languages, embeddings, weights, bias)
-    if held:
-        _calibrate(model, counts[-held:], target[-held:], rejected_share)
+    model = LanguageModel(languages, embeddings, weights, bias, 1.0, [0.0] * len(languages))
+    if held.any():
+        _calibrate(model, counts[held], target[held], rejected_share)
     return model
 
 
+def _held_back(target: np.ndarray, languages: int) -> np.ndarray:
+    """Every fifth row of each language, by its place among them; the first four are learned from."""
+    every = round(1 / CALIBRATION_SHARE)
+    held = np.zeros(len(target), bool)
+    for language in range(languages):
+        held[np.flatnonzero(target == language)[every - 1 :: every]] = True
+    return held
+
+
 def _calibrate(model: LanguageModel, counts: np.ndarray, target: np.ndarray, share: float) -> None:
     def loss(temperature: float) -> float:
         model.temperature = temperature
@@ -161,9 +181,16 @@ def _calibrate(model: LanguageModel, counts: np.ndarray, target: np.ndarray, sha
 
     model.temperature = min((float(t) for t in np.geomspace(0.1, 10, 41)), key=loss)
     found = model.probabilities(counts)
-    right = found.max(1)[found.argmax(1) == target]
-    if len(right):
-        model.threshold = _lower_limit(right.astype(float), share)
+    named, scores = found.argmax(1), found.max(1).astype(float)
+    right = named == target
+    if not right.any():
+        return
+    limits = [_lower_limit(scores[right], share)] * len(model.languages)
+    for language in range(len(limits)):
+        own = scores[right & (named == language)]
+        if len(own) > 1:
+            limits[language] = _lower_limit(own, share)
+    model.thresholds = limits
 
 
 def _lower_limit(scores: np.ndarray, share: float) -> float:
@@ -229,10 +256,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
             for rows in row_slices(batch, "text"):
                 texts = rows.column("text").to_pylist()
                 keep = [i for i, t in enumerate(texts) if has_letter(t)]
-                packed = [
-                    np.minimum(gram_counts(texts[i]), 65_535).astype("<u2").tobytes()
-                    for i in keep
-                ]
+                packed = [_packed(gram_counts(texts[i])) for i in keep]
                 some = rows.take(pa.array(keep, pa.int64()))
                 yield pa.record_batch(
                     {
@@ -258,7 +282,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     ``lang_pred`` is a learned language; ``und`` with score 0 where the text is
     null or has no letter, or nothing was learned. ``accepted`` is false for
-    those and where the calibrated score is below the model's threshold.
+    those and where the calibrated score is below its language's threshold.
     Repeated rows each get a row; a null id is never held out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -103,6 +103,27 @@ def expected_base(rows):
     ]
 
 
+def test_every_language_is_held_back_and_has_its_own_limit():
+    target = np.array([0, 1] * 10 + [0] * 80 + [2] * 4)
+    held = langid._held_back(target, 3)
+    assert [int(held[target == k].sum()) for k in range(3)] == [18, 2, 0]
+    rng = np.random.default_rng(1)
+    labels = ["a"] * 100 + ["b"] * 20 + ["c"] * 3
+    counts = np.zeros((len(labels), 1 << langid.BUCKET_BITS), np.uint16)
+    for row, label in enumerate(labels):
+        np.add.at(counts[row], rng.integers(0, 40, 30) + 12 * "abc".index(label), 1)
+    model = langid.train(counts, labels)
+    assert len(model.thresholds) == 3 and model.thresholds[0] != model.thresholds[1]
+    assert (np.argmax(model.probabilities(counts), 1) == np.array(["abc".index(x) for x in labels])).mean() > 0.8
+
+
+def test_large_counts_keep_their_shares():
+    counts = np.array([3_000_000, 1_500_000, 0, 30_000])
+    packed = np.frombuffer(langid._packed(counts), "<u2")
+    assert np.allclose(packed / packed.sum(), counts / counts.sum(), atol=1e-4)
+    assert langid._packed(np.array([65_535, 1])) == np.array([65_535, 1], "<u2").tobytes()
+
+
 @pytest.mark.parametrize("head", [3, 100_000])
 def test_base_scores(spark, docs_of, monkeypatch, head):
     monkeypatch.setattr(logbilinear, "HEAD_WORDS", head)
