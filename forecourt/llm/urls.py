@@ -25,6 +25,8 @@ KEPT_SHARE = 0.95
 BACKOFF = 4.0  # pseudo-counts that the shorter context contributes
 SCALE = 1_000_000  # log-likelihood differences are summed as whole millionths
 ALPHABET = 49  # characters that _trigrams can make
+URLS_PER_TASK = 20_000
+MOST_TASKS = 20_000
 RATIO_STEP = 100  # a ratio counts ten-thousandths
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -81,6 +83,17 @@ def _with_trigrams(urls: DataFrame, url: str) -> DataFrame:
     return cut.select(*urls.columns, F.explode(grams).alias("gram"))
 
 
+def _dealt(urls: DataFrame) -> DataFrame:
+    """Urls dealt by hash to a number of tasks that follows their number.
+
+    The written table is small beside the rows its characters become, and may be
+    a single file; the number is given, so adaptive execution keeps it.
+    """
+    cores = urls.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(cores, -(-urls.count() // URLS_PER_TASK)), MOST_TASKS)
+    return urls.repartition(tasks, "url")
+
+
 def _log_probabilities(grams: DataFrame, counted: Column, label: str) -> DataFrame:
     """``gram`` with ln p(character | context) as ``label``, from trigram counts.
 
@@ -138,7 +151,7 @@ def judge(
         .groupBy("url", "label", "fold")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    urls = cut_lineage(urls)
+    urls = _dealt(cut_lineage(urls))
     learning = (F.col("fold") != 0) & F.col("label").isNotNull()
     grams = (
         _with_trigrams(urls, "url")
