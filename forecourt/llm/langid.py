@@ -125,8 +125,8 @@ def train(
     Rows come in the order of a hash. Every ``1 / CALIBRATION_SHARE``-th row of each
     language is held back, so rare languages are calibrated too. These rows set the
     temperature (least log loss) and each language's threshold: the score that
-    ``rejected_share`` of the texts rightly named so stay below. A language with
-    fewer than two such texts takes the threshold of all.
+    ``rejected_share`` of the texts rightly named so stay below, or that of all
+    languages together if it is lower: few scores don't reach far down.
     """
     languages = sorted(set(labels))
     if not languages:
@@ -189,7 +189,7 @@ def _calibrate(model: LanguageModel, counts: np.ndarray, target: np.ndarray, sha
     for language in range(len(limits)):
         own = scores[right & (named == language)]
         if len(own) > 1:
-            limits[language] = _lower_limit(own, share)
+            limits[language] = min(limits[language], _lower_limit(own, share))
     model.thresholds = limits
 
 

@@ -113,7 +113,7 @@ def test_every_language_is_held_back_and_has_its_own_limit():
     for row, label in enumerate(labels):
         np.add.at(counts[row], rng.integers(0, 40, 30) + 12 * "abc".index(label), 1)
     model = langid.train(counts, labels)
-    assert len(model.thresholds) == 3 and model.thresholds[0] != model.thresholds[1]
+    assert len(model.thresholds) == 3 and len(set(model.thresholds)) > 1
     assert (np.argmax(model.probabilities(counts), 1) == np.array(["abc".index(x) for x in labels])).mean() > 0.8
 
 
