@@ -124,7 +124,7 @@ def _(m: LensModels) -> DataFrame:
     "accounts",
 )
 def _(m: LensModels) -> DataFrame:
-    pages = paged_envelopes(m.accounts, ["dealer_id"], 100)
+    pages = paged_envelopes(m.accounts, ["dealer_id"], 100).select("page", "raw_json")
     return unnest_records(pages, ["dealer_id", "dealer_name", "market", "segment", "sales_rep"])
 
 

@@ -6,9 +6,10 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from conftest import DATA, rows
 from pyspark.sql import functions as F
 
+from forecourt.checks.registry import QUERIES
 from forecourt.functions import workspace
 from forecourt.operators import incremental
 from forecourt.operators.unnest import unnest_records
@@ -241,3 +242,8 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert workspace.scratch_path(spark, "x").startswith(root.rstrip("/") + "/x-")
     cut = workspace.cut_lineage(spark.range(5))
     assert rows(cut) == [(i,) for i in range(5)]
+
+
+def test_unnested_account_pages_have_the_columns_of_the_sql(spark):
+    columns = QUERIES["unnest_join"](spark, DATA).columns
+    assert columns == ["page", "dealer_id", "dealer_name", "market", "segment", "sales_rep"]
