@@ -41,22 +41,23 @@ def lookup(
     ``on`` maps left keys to right keys; a NULL key matches nothing. Whether the
     right side is broadcast is left to Spark, which knows its size at run time;
     hot keys of a shuffled join are split by AQE, NULL keys are spread here (by
-    ``spread_by``, see ``spread_null_key``).
+    ``spread_by``, see ``spread_null_key``). The spread key stands in the condition,
+    not in a column: it is not shuffled with the rows, and a second lookup by the
+    same key finds them where they are.
     """
     right_side = right.select(
         *[F.col(r).alias(f"__key{i}") for i, r in enumerate(on.values())],
         *[F.col(r).alias(f"__take_{new}") for new, r in take.items()],
     )
-    keyed = left
     condition: Column | None = None
     for i, name in enumerate(on):
         if len(on) == 1 and isinstance(left.schema[name].dataType, StringType):
-            keyed = keyed.withColumn(f"__left{i}", spread_null_key(left, name, spread_by))
-            clause = (F.col(f"__left{i}") == F.col(f"__key{i}")) & F.col(name).isNotNull()
+            spread = spread_null_key(left, name, spread_by)
+            clause = (spread == F.col(f"__key{i}")) & F.col(name).isNotNull()
         else:
             clause = F.col(name) == F.col(f"__key{i}")
         condition = clause if condition is None else condition & clause
-    joined = keyed.join(right_side, condition, "left")
+    joined = left.join(right_side, condition, "left")
     return joined.select(
         *[F.col(c) for c in left.columns if c not in take],
         *[F.col(f"__take_{new}").alias(new) for new in take],

@@ -43,6 +43,7 @@ def int_dealer_subscription_snapshot(
     products: DataFrame,
     at: Stamp = None,
 ) -> DataFrame:
+    """The dealer comes last, so that a fact made of the rows looks its key up in place."""
     rows = subscriptions.withColumnRenamed("updated_at", "subscription_updated_at")
     rows = lookup(
         rows,
@@ -56,18 +57,18 @@ def int_dealer_subscription_snapshot(
             "contract_updated_at": "updated_at",
         },
     )
-    rows = lookup(
-        rows,
-        accounts,
-        on={"dealer_id": "dealer_id"},
-        take={**_ACCOUNT, "account_status": "account_status", "account_updated_at": "updated_at"},
-    )
     rows = lookup(
         rows,
         products,
         on={"product_id": "product_id"},
         take={**_PRODUCT, "product_updated_at": "updated_at"},
     )
+    rows = lookup(
+        rows,
+        accounts,
+        on={"dealer_id": "dealer_id"},
+        take={**_ACCOUNT, "account_status": "account_status", "account_updated_at": "updated_at"},
+    )
     rows = rows.withColumn("transformed_at", run_stamp(at))
     return conform(rows, "int_dealer_subscription_snapshot")
 
@@ -80,7 +81,10 @@ def int_invoice_enriched(
     products: DataFrame,
     at: Stamp = None,
 ) -> DataFrame:
-    """Contract and product hang on the subscription found; the dealer is the invoice's own."""
+    """Contract and product hang on the subscription found; the dealer is the invoice's own.
+
+    The dealer comes last, so that a fact made of the rows looks its key up in place.
+    """
     rows = lookup(
         invoices,
         subscriptions,
@@ -100,8 +104,8 @@ def int_invoice_enriched(
         on={"contract_id": "contract_id"},
         take={"contract_status": "contract_status"},
     )
-    rows = lookup(rows, accounts, on={"dealer_id": "dealer_id"}, take=_ACCOUNT)
     rows = lookup(rows, products, on={"product_id": "product_id"}, take=_PRODUCT)
+    rows = lookup(rows, accounts, on={"dealer_id": "dealer_id"}, take=_ACCOUNT)
     rows = rows.withColumn("transformed_at", run_stamp(at))
     return conform(rows, "int_invoice_enriched")
 

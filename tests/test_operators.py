@@ -255,3 +255,17 @@ def test_scan_reads_only_what_is_needed(spark):
     plan = plan_of(query)
     assert "GreaterThanOrEqual(l_shipdate" in plan
     assert "ReadSchema: struct<l_returnflag:string,l_shipdate" in plan
+
+
+def test_two_lookups_by_one_key_share_a_shuffle(spark):
+    left = spark.range(100).selectExpr("concat('i', id) AS invoice_id", "concat('d', id) AS dealer_id")
+    right = left.selectExpr("dealer_id", "upper(dealer_id) AS name")
+    on = {"dealer_id": "dealer_id"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        once = joins.lookup(left, right, on, {"name": "name"})
+        twice = joins.lookup(once, right, on, {"again": "name"})
+        assert plan_of(twice).count("Exchange hashpartitioning") == 3  # the rows once, each right side
+        assert twice.filter("again = upper(dealer_id) AND name = again").count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
