@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm import crowds
 from forecourt.llm.common import cut_lineage, row_slices
-from forecourt.llm.simhash import component_ids, majority_bits, way_keys
+from forecourt.llm.simhash import close_pairs, component_ids, majority_bits, way_keys
 
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 80
@@ -104,6 +104,7 @@ def near_copies(
     words: int = SHINGLE_WORDS,
     percent: int = LEAST_PERCENT,
     crowded: int = crowds.CROWDED,
+    max_distance: int | None = None,
 ) -> DataFrame:
     """``doc_id, component_id, text_hash``: one row per row of ``docs``.
 
@@ -115,6 +116,10 @@ def near_copies(
     whole sets, in crowds by ``crowds.similar_links``. Null and empty texts are
     copies of each other. Ids and repeated rows are treated as by
     ``simhash.near_copies``.
+
+    With ``max_distance`` texts whose SimHash fingerprints are at most so many bits
+    apart are linked too, whatever their similarity: blocks, distances and links are
+    those of ``simhash.close_pairs``.
     """
 
     def sketch(batches):
@@ -152,12 +157,25 @@ def near_copies(
         percent,
         crowded,
     )
+    if max_distance is not None:
+        links = links.unionAll(fingerprint_links(nodes, max_distance))
     classes = component_ids(nodes.select(F.col("node").alias("key"), "first_id"), links)
     return marked.select("doc_id", "text_hash", "node").join(
         classes, F.col("node") == F.col("key")
     ).select("doc_id", "component_id", "text_hash")
 
 
+def fingerprint_links(nodes: DataFrame, max_distance: int) -> DataFrame:
+    """Links ``a, b`` that join all nodes whose fingerprints are within the distance."""
+    prints = cut_lineage(nodes.groupBy("sketch").agg(F.min("node").alias("first")))
+    close = close_pairs(prints.select(F.col("sketch").alias("fp")), max_distance)
+    one = prints.select(F.col("sketch").alias("a"), F.col("first").alias("first_a"))
+    other = prints.select(F.col("sketch").alias("b"), F.col("first").alias("first_b"))
+    near = close.join(one, "a").join(other, "b").select("first_a", "first_b")
+    equal = nodes.select("node", "sketch").join(prints, "sketch").filter("node <> first")
+    return near.unionAll(equal.select("first", "node")).toDF("a", "b")
+
+
 def node_rows(marked: DataFrame) -> DataFrame:
     """One row per node: its sketch and bands, its least id, and a row that has its text."""
     return cut_lineage(

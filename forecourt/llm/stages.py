@@ -17,13 +17,16 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: shingles of five words, similarity 0.8.
+    """One document of each group of near copies stays: shingles of five words.
 
-    Two bits of operator 2's query miss most such pairs, and the 12 bits that
-    would reach them leave blocks of four bits, under which all pairs meet. So
-    its blocks give the closest pairs and bands of minimum hashes the others.
+    Operator 2 links fingerprints at two bits or fewer. It misses most pairs of a
+    similarity of 0.8, and the 12 bits that would reach them leave blocks of four
+    bits, under which all pairs meet. So bands of minimum hashes, verified on whole
+    sets, add those pairs to its links.
     """
-    return simhash.one_per_component(docs, near=shingles.near_copies)
+    return simhash.one_per_component(
+        docs, near=shingles.near_copies, max_distance=simhash.MAX_DISTANCE
+    )
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

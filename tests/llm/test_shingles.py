@@ -97,3 +97,11 @@ def test_the_stage_with_awkward_rows(spark, docs_of):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"]) == [1, 4, 5, 6, 7, 8]
     assert [r["text"] for r in kept if r["doc_id"] is None] == ["no id at all"]
     assert drop_near_copies(spark, docs.limit(0), "").collect() == []
+
+
+def test_the_stage_drops_what_simhash_links(spark, docs_of):
+    """Fingerprints one bit apart at a similarity of 15 / 19, under the bar for whole sets."""
+    words = "w77 w55 w78 w3 w69 w56 w59 w39 w8 w21 w92 w55 w67 w85 w45 w82 w0 w9 w3 w98 w13"
+    texts = [words, words.replace("w98", "x6349"), "nothing like the others at all"]
+    kept = drop_near_copies(spark, docs_of(list(enumerate(texts))), "").collect()
+    assert {r["doc_id"] for r in kept} == {0, 2}
