@@ -188,6 +188,8 @@ VIEWS: dict[str, str] = {
         GROUP BY target_month, market, sales_rep, product_group""",
 }
 
+ROWS_A_TASK = 25_000
+
 # View name to the staging table it plays.
 STAGED_AS = {
     "vehicles": "stg_marketplace_vehicles",
@@ -225,7 +227,7 @@ class Lens:
     def part_regions(self) -> DataFrame:
         """Each part once per region number."""
         numbers = F.sequence(F.lit(0), F.lit(4))
-        return self.table("part").select("*", F.explode(numbers).alias("region_no"))
+        return spread_rows(self.table("part")).select("*", F.explode(numbers).alias("region_no"))
 
     def view(self, name: str, **given: DataFrame) -> DataFrame:
         """A view, its inputs taken from ``given`` or made from the source tables."""
@@ -258,6 +260,15 @@ class Lens:
         return self.spark.sql(text, line_records=records)
 
 
+def spread_rows(rows: DataFrame, per_task: int = ROWS_A_TASK) -> DataFrame:
+    """The rows dealt to tasks of about ``per_task`` each, before every row becomes many.
+
+    A table of few bytes is read by few tasks, however many rows are made of it there.
+    """
+    tasks = -(-rows.count() // per_task)
+    return rows.repartition(tasks, rows.columns[0]) if tasks > 1 else rows
+
+
 def view_inputs(name: str) -> list[str]:
     """Names in braces, in order of appearance."""
     names: list[str] = []

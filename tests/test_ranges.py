@@ -4,6 +4,9 @@ from datetime import date, timedelta
 import pytest
 from conftest import plan_of, rows
 
+from pyspark.sql import functions as F
+
+from forecourt.lens import spread_rows
 from forecourt.operators.ranges import join_valid
 
 DAY0 = date(2024, 1, 1)
@@ -43,3 +46,9 @@ def test_rows_meet_the_periods_of_their_day(spark, how):
     assert none.collect() == []
     lost = join_valid(left, right.limit(0), "day", {"key": "k"}, {"p": "p"}, how=how)
     assert lost.count() == (len(days) if how == "left" else 0)
+
+
+def test_rows_that_become_many_are_dealt_to_tasks(spark):
+    dealt = spread_rows(spark.range(10_000).coalesce(1), per_task=1_000)
+    sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) < 1_500
