@@ -154,20 +154,22 @@ def one_row_per_check(sums: DataFrame, names: list[str]) -> DataFrame:
     return sums.select(F.inline(F.array(*checks)))
 
 
-def key_uses(staged: Frames) -> tuple[DataFrame, dict[str, tuple[str, int]]]:
+def key_uses(staged: Frames) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
     """Every key value of every staging table, with its use, and the use of each foreign key.
 
-    A domain is a table's key. Use 0 is the key itself; uses 1, 2, … are the
+    A domain is the number of a table, as map tasks hold a row for every key. Use 0 is the key itself; uses 1, 2, … are the
     columns that point to it, numbered within the domain. A table is scanned
     once, whatever the number of its key columns.
     """
     tables = {t: key for t, key in KEYS.items() if t.startswith("stg_")}
-    uses: dict[str, tuple[str, int]] = {}
+    number = {table: n for n, table in enumerate(tables)}
+    uses: dict[str, tuple[int, int]] = {}
     for name, (_, _, parent) in FOREIGN_KEYS.items():
-        uses[name] = (parent, 1 + sum(domain == parent for domain, _ in uses.values()))
+        own = number[parent]
+        uses[name] = (own, 1 + sum(domain == own for domain, _ in uses.values()))
     parts = []
     for table, key in tables.items():
-        columns = [(table, 0, key)]
+        columns = [(number[table], 0, key)]
         columns += [(*uses[n], c) for n, (child, c, _) in FOREIGN_KEYS.items() if child == table]
         marked = [
             F.struct(
