@@ -224,6 +224,7 @@ def _(m: LensModels) -> DataFrame:
         on={"product_id": "product_id", "market": "market", "segment": "dealer_segment"},
         take={"price_id": "price_id", "list_price": "list_price"},
         how="left",
+        days=m.staged_invoices,
     ).select("invoice_id", "price_id", "list_price", "invoice_amount")
 
 
