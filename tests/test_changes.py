@@ -305,3 +305,21 @@ def test_month_partition_values(spark):
     df = spark.createDataFrame([(date(2024, 2, 9),), (None,)], "d date")
     assert rows(df.select(tables.partition_value("d", True))) == [("2024-02-01",), ("none",)]
     assert rows(df.select(tables.partition_value("d", False))) == [("2024-02-09",), ("none",)]
+
+
+def test_a_first_load_computes_its_rows_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = frame(spark, INVOICES, invoice("a", date(2024, 1, 1)), invoice("b", date(2024, 2, 1)))
+    upsert.upsert_partitions(
+        spark, folder, INVOICES, batch.mapInArrow(counted, batch.schema), "invoice_date", True,
+        verify_keys=False,
+    )
+    assert seen.value == 2
+    put(spark, folder, invoice("a", date(2024, 3, 1)))
+    assert len(stored(spark, folder)) == 2  # the index knows where the old row is
