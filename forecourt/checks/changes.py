@@ -23,7 +23,7 @@ from forecourt.checks.staging import LINEAGE
 from forecourt.functions.keys import month_start
 from forecourt.functions.workspace import cut_lineage, scratch_path
 from forecourt.operators import incremental, upsert
-from forecourt.plans import facts, funnel, intermediate, refresh
+from forecourt.plans import facts, funnel, refresh
 from forecourt.plans.layers import Lake, stage_events
 from forecourt.plans.staging import STAGES, stage
 from forecourt.sources import tables
@@ -365,10 +365,10 @@ def _(m: LensModels) -> DataFrame:
     repriced = F.col("subscription_start_date") > F.date_sub(F.lit(last), 60)
 
     def build(subscriptions: DataFrame, rows: DataFrame) -> DataFrame:
-        enriched = intermediate.int_invoice_enriched(
-            rows, subscriptions, m.contracts, m.accounts, m.products
+        return facts.revenue_from_staging(
+            rows, subscriptions, m.contracts, m.accounts, m.products,
+            m.dim_date, m.dim_dealer, m.dim_product, few=True,
         )
-        return facts.fact_revenue(enriched, m.dim_date, m.dim_dealer, m.dim_product)
 
     current = m.staged_subscriptions
     stale = current.withColumn("contract_price", F.when(~repriced, F.col("contract_price")))

@@ -48,7 +48,7 @@ class LensModels(Lens):
     @cached_property
     def staged_lines(self) -> DataFrame:
         """Order lines written once, as a staged table would be: several models read them."""
-        return cut_lineage(self.view("line_records"))
+        return cut_lineage(self.view("line_records").drop("l_quantity", "l_tax"))
 
     @cached_property
     def staged_subscriptions(self) -> DataFrame:
@@ -116,15 +116,31 @@ class LensModels(Lens):
 
     @cached_property
     def fact_revenue(self) -> DataFrame:
-        return facts.fact_revenue(
-            self.int_invoice_enriched, self.dim_date, self.dim_dealer, self.dim_product
+        return self.revenue_on(self.dim_date)
+
+    def revenue_on(self, calendar: DataFrame) -> DataFrame:
+        return facts.revenue_from_staging(
+            self.staged_invoices,
+            self.staged_subscriptions,
+            self.contracts,
+            self.accounts,
+            self.products,
+            calendar,
+            self.dim_dealer,
+            self.dim_product,
         )
 
     @cached_property
     def fact_subscription(self) -> DataFrame:
-        return facts.fact_subscription(
-            self.int_dealer_subscription_snapshot,
-            self.dim_date,
+        return self.subscriptions_on(self.dim_date)
+
+    def subscriptions_on(self, calendar: DataFrame) -> DataFrame:
+        return facts.subscription_from_staging(
+            self.staged_subscriptions,
+            self.contracts,
+            self.accounts,
+            self.products,
+            calendar,
             self.dim_dealer,
             self.dim_product,
         )

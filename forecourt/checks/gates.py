@@ -9,7 +9,7 @@ from forecourt.checks.cases import Cases
 from forecourt.checks.frames import LensModels
 from forecourt.functions.workspace import cut_lineage
 from forecourt.lens import STAGED_AS
-from forecourt.plans import dimensions, facts, quality
+from forecourt.plans import dimensions, quality
 from forecourt.plans.marts import SALES_KEYS, revenue_rows
 from forecourt.schemas import KEYS
 
@@ -232,10 +232,7 @@ def _(m: LensModels) -> DataFrame:
 )
 def _(m: LensModels) -> DataFrame:
     days = short_calendar(m)
-    revenue = facts.fact_revenue(m.int_invoice_enriched, days, m.dim_dealer, m.dim_product)
-    started = facts.fact_subscription(
-        m.int_dealer_subscription_snapshot, days, m.dim_dealer, m.dim_product
-    )
+    revenue, started = m.revenue_on(days), m.subscriptions_on(days)
     return quality.unresolved_keys(
         revenue, quality.FACT_KEYS["fact_revenue"], "revenue"
     ).unionAll(

@@ -1,4 +1,9 @@
-"""Facts: intermediate rows with the surrogate keys of their dimensions."""
+"""Facts: intermediate rows with the surrogate keys of their dimensions.
+
+``fact_revenue`` and ``fact_subscription`` are made of intermediate rows that have been
+written. ``revenue_from_staging`` and ``subscription_from_staging`` give the same rows from
+staged tables in one go, where each id is looked up in parent and dimension at once.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 
 from forecourt.functions.casts import run_stamp
 from forecourt.operators.joins import lookup
+from forecourt.plans.intermediate import invoice_rows, snapshot_rows
 from forecourt.schemas import conform
 
 Stamp = Column | str | None
@@ -25,6 +31,13 @@ def _keyed(rows: DataFrame, dim: DataFrame, name: str) -> DataFrame:
     return lookup(rows, dim, on={business_key: business_key}, take={surrogate: surrogate})
 
 
+_REVENUE_DAYS = {"date_key": "invoice_date"}
+_SUBSCRIPTION_DAYS = {
+    "start_date_key": "subscription_start_date",
+    "end_date_key": "subscription_end_date",
+}
+
+
 def fact_revenue(
     invoices: DataFrame,
     dim_date: DataFrame,
@@ -32,11 +45,31 @@ def fact_revenue(
     dim_product: DataFrame,
     at: Stamp = None,
 ) -> DataFrame:
-    rows = with_date_keys(invoices, dim_date, {"date_key": "invoice_date"})
+    rows = with_date_keys(invoices, dim_date, _REVENUE_DAYS)
     rows = _keyed(_keyed(rows, dim_dealer, "dealer"), dim_product, "product")
     return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_revenue")
 
 
+def revenue_from_staging(
+    invoices: DataFrame,
+    subscriptions: DataFrame,
+    contracts: DataFrame,
+    accounts: DataFrame,
+    products: DataFrame,
+    dim_date: DataFrame,
+    dim_dealer: DataFrame,
+    dim_product: DataFrame,
+    at: Stamp = None,
+    few: bool = False,
+) -> DataFrame:
+    """``few`` is as for ``invoice_rows``."""
+    rows = invoice_rows(
+        invoices, subscriptions, contracts, accounts, products, dim_dealer, dim_product, few
+    )
+    rows = with_date_keys(rows, dim_date, _REVENUE_DAYS)
+    return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_revenue")
+
+
 def fact_subscription(
     snapshot: DataFrame,
     dim_date: DataFrame,
@@ -44,18 +77,26 @@ def fact_subscription(
     dim_product: DataFrame,
     at: Stamp = None,
 ) -> DataFrame:
-    rows = with_date_keys(
-        snapshot,
-        dim_date,
-        {
-            "start_date_key": "subscription_start_date",
-            "end_date_key": "subscription_end_date",
-        },
-    )
+    rows = with_date_keys(snapshot, dim_date, _SUBSCRIPTION_DAYS)
     rows = _keyed(_keyed(rows, dim_dealer, "dealer"), dim_product, "product")
     return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_subscription")
 
 
+def subscription_from_staging(
+    subscriptions: DataFrame,
+    contracts: DataFrame,
+    accounts: DataFrame,
+    products: DataFrame,
+    dim_date: DataFrame,
+    dim_dealer: DataFrame,
+    dim_product: DataFrame,
+    at: Stamp = None,
+) -> DataFrame:
+    rows = snapshot_rows(subscriptions, contracts, accounts, products, dim_dealer, dim_product)
+    rows = with_date_keys(rows, dim_date, _SUBSCRIPTION_DAYS)
+    return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_subscription")
+
+
 def fact_listing_performance(
     listings: DataFrame,
     dim_date: DataFrame,

@@ -36,14 +36,19 @@ def stage_counts(stages: StageMap = PLAIN_STAGES) -> list[Column]:
     ]
 
 
-def int_dealer_subscription_snapshot(
+def snapshot_rows(
     subscriptions: DataFrame,
     contracts: DataFrame,
     accounts: DataFrame,
     products: DataFrame,
-    at: Stamp = None,
+    dim_dealer: DataFrame | None = None,
+    dim_product: DataFrame | None = None,
 ) -> DataFrame:
-    """The dealer comes last, so that a fact made of the rows looks its key up in place."""
+    """Subscriptions with what their parents say and, where dimensions are given, their keys.
+
+    A dimension is looked up right after the parent with the same id, where the rows
+    lie by that id already.
+    """
     rows = subscriptions.withColumnRenamed("updated_at", "subscription_updated_at")
     rows = lookup(
         rows,
@@ -57,55 +62,85 @@ def int_dealer_subscription_snapshot(
             "contract_updated_at": "updated_at",
         },
     )
-    rows = lookup(
-        rows,
-        products,
-        on={"product_id": "product_id"},
-        take={**_PRODUCT, "product_updated_at": "updated_at"},
-    )
-    rows = lookup(
-        rows,
-        accounts,
-        on={"dealer_id": "dealer_id"},
-        take={**_ACCOUNT, "account_status": "account_status", "account_updated_at": "updated_at"},
-    )
+    product = {**_PRODUCT, "product_updated_at": "updated_at"}
+    rows = _with_parent(rows, products, "product", product, dim_product)
+    account = {**_ACCOUNT, "account_status": "account_status", "account_updated_at": "updated_at"}
+    return _with_parent(rows, accounts, "dealer", account, dim_dealer)
+
+
+def int_dealer_subscription_snapshot(
+    subscriptions: DataFrame,
+    contracts: DataFrame,
+    accounts: DataFrame,
+    products: DataFrame,
+    at: Stamp = None,
+) -> DataFrame:
+    rows = snapshot_rows(subscriptions, contracts, accounts, products)
     rows = rows.withColumn("transformed_at", run_stamp(at))
     return conform(rows, "int_dealer_subscription_snapshot")
 
 
-def int_invoice_enriched(
+def _with_parent(
+    rows: DataFrame, parent: DataFrame, name: str, take: Mapping[str, str], dim: DataFrame | None
+) -> DataFrame:
+    on = {f"{name}_id": f"{name}_id"}
+    rows = lookup(rows, parent, on, take)
+    return rows if dim is None else lookup(rows, dim, on, {f"{name}_key": f"{name}_key"})
+
+
+def invoice_rows(
     invoices: DataFrame,
     subscriptions: DataFrame,
     contracts: DataFrame,
     accounts: DataFrame,
     products: DataFrame,
-    at: Stamp = None,
+    dim_dealer: DataFrame | None = None,
+    dim_product: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
-    """Contract and product hang on the subscription found; the dealer is the invoice's own.
+    """Invoices with what their parents say and, where dimensions are given, their keys.
 
-    The dealer comes last, so that a fact made of the rows looks its key up in place.
+    Contract and product hang on the subscription found; the dealer is the invoice's own.
+    Either side meets its own parents while it is narrow, then both meet once. With
+    ``few`` invoices beside many subscriptions, those found go on to their parents instead.
     """
-    rows = lookup(
-        invoices,
-        subscriptions,
-        on={"subscription_id": "subscription_id"},
-        take={
-            "contract_id": "contract_id",
-            "product_id": "product_id",
-            "billing_frequency": "billing_frequency",
-            "contract_price": "contract_price",
-            "discount_pct": "discount_pct",
-            "subscription_status": "subscription_status",
-        },
-    )
-    rows = lookup(
-        rows,
-        contracts,
-        on={"contract_id": "contract_id"},
-        take={"contract_status": "contract_status"},
-    )
-    rows = lookup(rows, products, on={"product_id": "product_id"}, take=_PRODUCT)
-    rows = lookup(rows, accounts, on={"dealer_id": "dealer_id"}, take=_ACCOUNT)
+    own = {
+        "contract_id": "contract_id",
+        "product_id": "product_id",
+        "billing_frequency": "billing_frequency",
+        "contract_price": "contract_price",
+        "discount_pct": "discount_pct",
+        "subscription_status": "subscription_status",
+    }
+    by_subscription = {"subscription_id": "subscription_id"}
+
+    def with_contract_and_product(rows: DataFrame) -> DataFrame:
+        rows = lookup(
+            rows,
+            contracts,
+            on={"contract_id": "contract_id"},
+            take={"contract_status": "contract_status"},
+        )
+        return _with_parent(rows, products, "product", _PRODUCT, dim_product)
+
+    if few:
+        rows = with_contract_and_product(lookup(invoices, subscriptions, by_subscription, own))
+        return _with_parent(rows, accounts, "dealer", _ACCOUNT, dim_dealer)
+    known = with_contract_and_product(subscriptions.select("subscription_id", *own.values()))
+    rows = _with_parent(invoices, accounts, "dealer", _ACCOUNT, dim_dealer)
+    found = {c: c for c in known.columns if c != "subscription_id"}
+    return lookup(rows, known, by_subscription, found)
+
+
+def int_invoice_enriched(
+    invoices: DataFrame,
+    subscriptions: DataFrame,
+    contracts: DataFrame,
+    accounts: DataFrame,
+    products: DataFrame,
+    at: Stamp = None,
+) -> DataFrame:
+    rows = invoice_rows(invoices, subscriptions, contracts, accounts, products)
     rows = rows.withColumn("transformed_at", run_stamp(at))
     return conform(rows, "int_invoice_enriched")
 

@@ -98,18 +98,16 @@ def refresh_facts(lake: Lake, since: str, at: str | None = None) -> dict[str, li
     moved = reduce(DataFrame.unionAll, [s.select("subscription_id") for s in hanging], own)
 
     def revenue(rows: DataFrame) -> DataFrame:
-        enriched = intermediate.int_invoice_enriched(
+        return facts.revenue_from_staging(
             rows, subscriptions, t("stg_commercial_contracts"), t("stg_commercial_accounts"),
-            t("stg_pricing_products"), at,
+            t("stg_pricing_products"), t("dim_date"), t("dim_dealer"), t("dim_product"), at, few=True,
         )
-        return facts.fact_revenue(enriched, t("dim_date"), t("dim_dealer"), t("dim_product"), at)
 
     def subscribed(rows: DataFrame) -> DataFrame:
-        snapshot = intermediate.int_dealer_subscription_snapshot(
+        return facts.subscription_from_staging(
             rows, t("stg_commercial_contracts"), t("stg_commercial_accounts"),
-            t("stg_pricing_products"), at,
+            t("stg_pricing_products"), t("dim_date"), t("dim_dealer"), t("dim_product"), at,
         )
-        return facts.fact_subscription(snapshot, t("dim_date"), t("dim_dealer"), t("dim_product"), at)
 
     def listed(rows: DataFrame) -> DataFrame:
         shown = t("stg_engagement_events").join(rows.select("listing_id"), "listing_id", "left_semi")

@@ -5,7 +5,8 @@ from collections import defaultdict
 from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
-from conftest import rows
+import pytest
+from conftest import plan_of, rows
 
 from forecourt.functions.keys import hash_key
 from forecourt.plans import dimensions, facts, intermediate, marts
@@ -258,3 +259,83 @@ def test_listing_without_events_counts_zero(spark):
         ("L1", "m", 1, 0, 2, 1, datetime(2024, 1, 2)),
         ("L2", None, 0, 0, 0, 0, None),
     ]
+
+
+def invoice_parents(spark):
+    """Invoices with unknown and absent ids beside their parents and dimensions."""
+    staged = {
+        "invoices": spark.createDataFrame(
+            [("i1", "s1", "d1"), ("i2", "s2", "d2"), ("i3", None, "d9"), ("i4", "s9", None), ("i5", "s3", "d1")],
+            "invoice_id string, subscription_id string, dealer_id string",
+        ).selectExpr(
+            "*", "DATE '2024-05-06' AS invoice_date", "CAST(7 AS decimal(14,2)) AS invoice_amount",
+            "'EUR' AS currency", "'OPEN' AS payment_status", "DATE '2024-05-06' AS updated_at",
+        ),
+        "subscriptions": spark.createDataFrame(
+            [("s1", "c1", "p1"), ("s2", None, "p9"), ("s3", "c9", None), ("s4", "c1", "p1")],
+            "subscription_id string, contract_id string, product_id string",
+        ).selectExpr(
+            "*", "'MONTHLY' AS billing_frequency", "CAST(5 AS decimal(12,2)) AS contract_price",
+            "CAST(1 AS decimal(7,4)) AS discount_pct", "'ACTIVE' AS subscription_status",
+        ),
+        "contracts": spark.createDataFrame([("c1", "ACTIVE")], "contract_id string, contract_status string"),
+        "accounts": spark.createDataFrame(
+            [("d1", "Ann", "EU", "A", "R1")],
+            "dealer_id string, dealer_name string, market string, segment string, sales_rep string",
+        ),
+        "products": spark.createDataFrame(
+            [("p1", "Plan", "BASIC")], "product_id string, product_name string, product_family string"
+        ),
+    }
+    days = dimensions.dim_date(spark, date(2024, 5, 1), date(2024, 5, 31))
+    dealers = spark.createDataFrame([("d1", "D1"), ("d2", "D2")], "dealer_id string, dealer_key string")
+    products = spark.createDataFrame([("p1", "P1"), ("p9", "P9")], "product_id string, product_key string")
+    return staged, (days, dealers, products)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_revenue_from_staging_equals_the_fact_of_written_rows(spark, few):
+    staged, dims = invoice_parents(spark)
+    enriched = intermediate.int_invoice_enriched(**staged, at="2024-06-01")
+    written = facts.fact_revenue(enriched, *dims, at="2024-06-01")
+    direct = facts.revenue_from_staging(*staged.values(), *dims, at="2024-06-01", few=few)
+    assert rows(direct) == rows(written) and direct.schema == written.schema
+    found = {r.invoice_id: r for r in direct.collect()}
+    assert len(found) == 5
+    assert (found["i1"].dealer_key, found["i1"].product_key, found["i1"].market) == ("D1", "P1", "EU")
+    # A key does not hang on the parent, only on the id.
+    assert (found["i2"].dealer_key, found["i2"].product_key, found["i2"].market) == ("D2", "P9", None)
+    assert (found["i3"].dealer_key, found["i3"].product_key) == (None, None)
+    assert (found["i4"].subscription_id, found["i4"].product_id) == ("s9", None)
+
+
+def test_invoices_stay_out_of_the_lookups_of_their_subscriptions(spark):
+    staged, _ = invoice_parents(spark)
+    plan = intermediate.int_invoice_enriched(**staged)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    tops = [i for i, line in enumerate(lines) if "Join" in line and ("contract_id" in line or "product_id" in line)]
+    assert len(tops) == 2
+    for top in tops:
+        below = []
+        for line in lines[top + 1 :]:
+            if depth(line) <= depth(lines[top]):
+                break
+            below.append(line)
+        assert below and not any("invoice_amount" in line for line in below)
+
+
+def test_a_fact_from_staging_moves_its_rows_once_for_each_id(spark):
+    staged, dims = invoice_parents(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enriched = intermediate.int_invoice_enriched(**staged)
+        twice = plan_of(facts.fact_revenue(enriched, *dims)).count("Exchange hashpartitioning")
+        once = plan_of(facts.revenue_from_staging(*staged.values(), *dims)).count("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The dimensions of dealer and product are moved, the rows are not moved for them again.
+    assert once == twice - 2
