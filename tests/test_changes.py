@@ -323,3 +323,19 @@ def test_a_first_load_computes_its_rows_once(spark, folder):
     assert seen.value == 2
     put(spark, folder, invoice("a", date(2024, 3, 1)))
     assert len(stored(spark, folder)) == 2  # the index knows where the old row is
+
+
+def test_a_first_load_is_written_once_and_refused_before_it_is_published(spark, folder):
+    import os
+
+    from forecourt.functions.workspace import shared_root
+
+    rows = frame(spark, INVOICES, invoice("a", date(2024, 1, 1)), invoice("b", date(2024, 2, 1)))
+    shared = shared_root(spark)
+    before = set(os.listdir(shared))
+    with pytest.raises(ValueError, match="several batch rows"):
+        upsert.upsert_partitions(spark, f"{folder}/twice", INVOICES, rows.unionAll(rows), "invoice_date", True)
+    assert tables.read_partitions(spark, f"{folder}/twice", INVOICES) is None
+    upsert.upsert_partitions(spark, f"{folder}/once", INVOICES, rows, "invoice_date", True)
+    assert tables.read_partitions(spark, f"{folder}/once", INVOICES).count() == 2
+    assert set(os.listdir(shared)) == before  # no copy of the batch

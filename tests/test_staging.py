@@ -237,3 +237,29 @@ def test_each_record_is_parsed_once(spark):
     typed = typed_rows(ACCOUNTS, raw)
     plan = plan_of(typed)
     assert plan.count("from_json(StructField(dealer_id") == 1
+
+
+def test_flat_pages_and_odd_pages_are_read_alike(spark):
+    from forecourt.operators.unnest import holds_flat_records, unnest_records
+
+    pages = [
+        ('{"page": 1, "data": [{"a": "x", "b": 1.50}, {"a": null, "b": true}]}', [("x", "1.5"), (None, "true")], True),
+        ('{"data": [{"a": "{[", "b": "]}"}]}', [("{[", "]}")], False),
+        ('{"data": [{"a": {"c": 1}, "b": "y"}, {"a": [1], "b": "z"}]}', [(None, "y"), (None, "z")], False),
+        ('{"data": [7, {"a": "x"}]}', [(None, None), ("x", None)], False),
+        ('{"data": [null, {"a": "x"}]}', [(None, None), ("x", None)], False),
+        ('{"data": [null, {"a": {"k": 1}}]}', [(None, None), (None, None)], True),
+        ('{"data": [{"a": 1E400, "b": NaN}]}', [("Infinity", "NaN")], True),
+        ('{"meta": {"k": 1}, "data": [{"a": "m"}]}', [("m", None)], False),
+        ('{"data": []}', [], False),
+        ('{"data": [{"a": "x"}', [], False),
+        ("no json", [], False),
+        (None, [], False),
+    ]
+    raw = spark.createDataFrame([(i, p[0]) for i, p in enumerate(pages)], "no int, raw_json string")
+    found = [tuple(r) for r in unnest_records(raw, ["a", "b"]).orderBy("no").collect()]
+    wanted = [(i, *r) for i, p in enumerate(pages) for r in p[1]]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+    read = F.from_json("raw_json", "data array<struct<a: string, b: string>>").getField("data")
+    flat = raw.select("no", holds_flat_records(F.col("raw_json"), read).alias("flat")).collect()
+    assert {r.no for r in flat if r.flat} <= {i for i, p in enumerate(pages) if p[2] or p[0] == '{"data": []}'}
