@@ -58,3 +58,12 @@ def test_touched_months_only_and_equal_to_the_full_fact(spark, folder):
     assert refresh(second, {"s": "off", "t": "gone"}, invoice_id=[], subscription_id=["t"]) == ["2024-03-01", "none"]
     assert [r[1] for r in stored()] == ["off", "off", "gone", "gone"]
     assert refresh(second, {}, invoice_id=[]) == []
+
+
+def test_partitions_hold_hashed_keys_in_half_their_text(spark, folder):
+    import os
+
+    keys = spark.range(20_000).selectExpr("upper(md5(cast(id AS string))) AS dealer_key", "DATE '2024-01-01' AS day")
+    tables.write_partitions(keys, folder, tables.partition_value("day", True))
+    size = sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet"))
+    assert size < 20_000 * 32 * 0.7
