@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
@@ -63,7 +64,9 @@ def gram_counts(text: str) -> np.ndarray:
 
 def _averages(counts: np.ndarray) -> np.ndarray:
     """Rows of counts as weights of an average over a text's subwords."""
-    return (counts / np.maximum(counts.sum(1, keepdims=True), 1)).astype(np.float32)
+    totals = np.maximum(counts.sum(1, keepdims=True), 1)
+    shares = np.empty(counts.shape, np.float32)  # filled piece by piece: no copy of twice the width
+    return np.divide(counts, totals, out=shares, casting="same_kind")
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -90,9 +93,11 @@ class LanguageModel:
     temperature: float = 1.0
     thresholds: Sequence[float] = ()
 
+    def logits(self, counts: np.ndarray) -> np.ndarray:
+        return _averages(counts) @ self.embeddings @ self.weights + self.bias
+
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        logits = _averages(counts) @ self.embeddings @ self.weights + self.bias
-        return _softmax(logits / self.temperature)
+        return _softmax(self.logits(counts) / self.temperature)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language, score and acceptance of each text; ``und`` and 0 where there is no letter."""
@@ -127,17 +132,19 @@ def train(
     temperature (least log loss) and each language's threshold: the score that
     ``rejected_share`` of the texts rightly named so stay below, or that of all
     languages together if it is lower: few scores don't reach far down.
+
+    Averages are made of one batch at a time, so beside ``counts`` little memory is
+    taken: the driver trains, and all averages would be several times the counts.
     """
     languages = sorted(set(labels))
     if not languages:
         none = np.zeros((1 << BUCKET_BITS, dimensions), np.float32)
         return LanguageModel([], none, np.zeros((dimensions, 0)), np.zeros(0))
     target = np.array([languages.index(label) for label in labels])
-    features = _averages(counts)
     held = _held_back(target, len(languages))
     fit = np.flatnonzero(~held)
     rng = np.random.default_rng(seed)
-    embeddings = rng.normal(0, 0.1, (features.shape[1], dimensions)).astype(np.float32)
+    embeddings = rng.normal(0, 0.1, (counts.shape[1], dimensions)).astype(np.float32)
     weights = rng.normal(0, 0.1, (dimensions, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     share = np.bincount(target[fit], minlength=len(languages)) / max(len(fit), 1)
@@ -149,7 +156,7 @@ def train(
             rows = order[at : at + BATCH_ROWS]
             rate = LEARNING_RATE * (1 - step / steps)
             step += 1
-            x, y = features[rows], target[rows]
+            x, y = _averages(counts[rows]), target[rows]
             hidden = x @ embeddings
             error = _softmax(hidden @ weights + bias)
             error[np.arange(len(rows)), y] -= 1
@@ -174,13 +181,14 @@ def _held_back(target: np.ndarray, languages: int) -> np.ndarray:
 
 
 def _calibrate(model: LanguageModel, counts: np.ndarray, target: np.ndarray, share: float) -> None:
+    logits = model.logits(counts)
+
     def loss(temperature: float) -> float:
-        model.temperature = temperature
-        p = model.probabilities(counts)[np.arange(len(target)), target]
+        p = _softmax(logits / temperature)[np.arange(len(target)), target]
         return float(-np.log(np.maximum(p, 1e-12)).mean())
 
     model.temperature = min((float(t) for t in np.geomspace(0.1, 10, 41)), key=loss)
-    found = model.probabilities(counts)
+    found = _softmax(logits / model.temperature)
     named, scores = found.argmax(1), found.max(1).astype(float)
     right = named == target
     if not right.any():
@@ -224,7 +232,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Train on a bounded sample of the labelled rows outside the held-out fold.
 
     ``sample_rows`` (4000) is the bound on rows that reach the driver, as 8 KB of
-    subword counts each. Languages take turns, each in the order of a hash of the
+    subword counts each, compressed on the way. Languages take turns, each in the order of a hash of the
     ids, so rare ones are not lost. Only ``text`` and ``lang`` are used. Rows
     without id, language or letter are not learned from; of rows with one id, one.
     """
@@ -256,7 +264,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
             for rows in row_slices(batch, "text"):
                 texts = rows.column("text").to_pylist()
                 keep = [i for i, t in enumerate(texts) if has_letter(t)]
-                packed = [_packed(gram_counts(texts[i])) for i in keep]
+                packed = [zlib.compress(_packed(gram_counts(texts[i])), 1) for i in keep]
                 some = rows.take(pa.array(keep, pa.int64()))
                 yield pa.record_batch(
                     {
@@ -270,11 +278,12 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     sampled = texts.join(F.broadcast(chosen), "__id").dropDuplicates(["__turn", "__lang"])
     sampled = sampled.select("__turn", "__lang", "text")
     rows = sampled.mapInArrow(count, "turn int, lang string, counts binary").collect()
-    rows.sort(key=lambda r: (r["turn"], r["lang"], r["counts"]))
-    counts = np.stack([np.frombuffer(r["counts"], "<u2") for r in rows]) if rows else np.zeros(
-        (0, 1 << BUCKET_BITS), np.uint16
-    )
-    return train(counts, [r["lang"] for r in rows])
+    rows.sort(key=lambda r: (r["turn"], r["lang"]))
+    labels = [r["lang"] for r in rows]
+    counts = np.empty((len(rows), 1 << BUCKET_BITS), "<u2")
+    for place in reversed(range(len(rows))):
+        counts[place] = np.frombuffer(zlib.decompress(rows.pop()["counts"]), "<u2")
+    return train(counts, labels)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -117,6 +118,20 @@ def test_every_language_is_held_back_and_has_its_own_limit():
     assert (np.argmax(model.probabilities(counts), 1) == np.array(["abc".index(x) for x in labels])).mean() > 0.8
 
 
+def test_training_takes_less_memory_than_its_counts():
+    rng = np.random.default_rng(2)
+    counts = rng.poisson(0.3, (1000, 1 << langid.BUCKET_BITS)).astype(np.uint16)
+    whole = (counts / np.maximum(counts.sum(1, keepdims=True), 1)).astype(np.float32)
+    assert np.array_equal(langid._averages(counts), whole)
+    del whole
+    tracemalloc.start()
+    model = langid.train(counts, ["a", "b"] * 500, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ["a", "b"]
+    assert peak < counts.nbytes
+
+
 def test_large_counts_keep_their_shares():
     counts = np.array([3_000_000, 1_500_000, 0, 30_000])
     packed = np.frombuffer(langid._packed(counts), "<u2")
