@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from forecourt.functions.workspace import cut_lineage
 from forecourt.lens import Lens
+from forecourt.operators.joins import told_unique
 from forecourt.plans import dimensions, facts, intermediate, marts
 
 # Days covered by the given tables.
@@ -58,6 +59,14 @@ class LensModels(Lens):
     def staged_invoices(self) -> DataFrame:
         return self.view("invoices", line_records=self.staged_lines)
 
+    @cached_property
+    def known_contracts(self) -> DataFrame:
+        return told_unique(self.contracts, "contract_id")
+
+    @cached_property
+    def known_products(self) -> DataFrame:
+        return told_unique(self.products, "product_id")
+
     @cached_property
     def prices(self) -> DataFrame:
         return self.view("prices")
@@ -73,7 +82,7 @@ class LensModels(Lens):
     @cached_property
     def int_dealer_subscription_snapshot(self) -> DataFrame:
         return intermediate.int_dealer_subscription_snapshot(
-            self.staged_subscriptions, self.contracts, self.accounts, self.products
+            self.staged_subscriptions, self.known_contracts, self.accounts, self.known_products
         )
 
     @cached_property
@@ -81,9 +90,9 @@ class LensModels(Lens):
         return intermediate.int_invoice_enriched(
             self.staged_invoices,
             self.staged_subscriptions,
-            self.contracts,
+            self.known_contracts,
             self.accounts,
-            self.products,
+            self.known_products,
         )
 
     @cached_property
@@ -92,7 +101,7 @@ class LensModels(Lens):
 
     @cached_property
     def int_price_book(self) -> DataFrame:
-        return intermediate.int_price_book(self.prices, self.products)
+        return intermediate.int_price_book(self.prices, self.known_products)
 
     @cached_property
     def int_sales_targets(self) -> DataFrame:
@@ -106,6 +115,10 @@ class LensModels(Lens):
     def dim_product(self) -> DataFrame:
         return dimensions.dim_product(self.products)
 
+    @cached_property
+    def known_dim_product(self) -> DataFrame:
+        return dimensions.dim_product(self.known_products)
+
     @cached_property
     def dim_vehicle(self) -> DataFrame:
         return dimensions.dim_vehicle(self.vehicles)
@@ -122,12 +135,12 @@ class LensModels(Lens):
         return facts.revenue_from_staging(
             self.staged_invoices,
             self.staged_subscriptions,
-            self.contracts,
+            self.known_contracts,
             self.accounts,
-            self.products,
+            self.known_products,
             calendar,
             self.dim_dealer,
-            self.dim_product,
+            self.known_dim_product,
         )
 
     @cached_property
@@ -137,12 +150,12 @@ class LensModels(Lens):
     def subscriptions_on(self, calendar: DataFrame) -> DataFrame:
         return facts.subscription_from_staging(
             self.staged_subscriptions,
-            self.contracts,
+            self.known_contracts,
             self.accounts,
-            self.products,
+            self.known_products,
             calendar,
             self.dim_dealer,
-            self.dim_product,
+            self.known_dim_product,
         )
 
     @cached_property
@@ -164,7 +177,7 @@ class LensModels(Lens):
     @cached_property
     def mart_product_performance_monthly(self) -> DataFrame:
         return marts.mart_product_performance_monthly(
-            self.fact_revenue, self.fact_subscription, self.int_price_book, self.dim_product
+            self.fact_revenue, self.fact_subscription, self.int_price_book, self.known_dim_product
         )
 
     @cached_property

@@ -43,5 +43,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from forecourt.operators.aggregates import repeated_keys
 from forecourt.schemas import KEYS
 
 _SPREAD = 4096
 
 
-def spread_null_key(df: DataFrame, key: str, spread_by: str | None = None) -> Column:
+def spread_null_key(
+    df: DataFrame, key: str, spread_by: str | Sequence[str] | None = None
+) -> Column:
     """Join key in which NULLs take many different values that mean nothing.
 
     Rows with a NULL key find no partner, yet would all be hashed to one task;
-    this sends them to as many as there are. The values come from one column
+    this sends them to as many as there are. The values come from few columns
     only, so that the scan below reads no more than is asked for: ``spread_by``,
     else the frame's primary key, else its first other column.
     """
@@ -25,16 +28,28 @@ def spread_null_key(df: DataFrame, key: str, spread_by: str | None = None) -> Co
         others = [c for c in df.columns if c != key] or [key]
         keys = set(KEYS.values())
         spread_by = next((c for c in others if c in keys), others[0])
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(_SPREAD)))
+    columns = [spread_by] if isinstance(spread_by, str) else spread_by
+    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*columns), F.lit(_SPREAD)))
     return F.coalesce(F.col(key), filler)
 
 
+def told_unique(parent: DataFrame, key: str) -> DataFrame:
+    """The parent in a form that tells Spark that its keys do not repeat, if that is so.
+
+    A left join that takes no column which is used later then costs nothing, as Spark
+    leaves it out. Whether keys repeat is counted first, over the key column alone; a
+    parent with repeated keys, which multiplies the rows that meet it, stays as it is.
+    """
+    known = parent.filter(F.col(key).isNotNull())
+    return parent if not repeated_keys(known, [key]).isEmpty() else known.dropDuplicates([key])
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
-    spread_by: str | None = None,
+    spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Left equi join that adds the ``take`` columns (new name: right-hand name).
 

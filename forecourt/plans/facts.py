@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 
 from forecourt.functions.casts import run_stamp
 from forecourt.operators.joins import lookup
-from forecourt.plans.intermediate import invoice_rows, snapshot_rows
-from forecourt.schemas import conform
+from forecourt.plans.intermediate import find_key, invoice_rows, named_keys, snapshot_rows
+from forecourt.schemas import column_types, conform
 
 Stamp = Column | str | None
 
@@ -26,9 +26,11 @@ def with_date_keys(rows: DataFrame, dim_date: DataFrame, keys: Mapping[str, str]
     return rows
 
 
-def _keyed(rows: DataFrame, dim: DataFrame, name: str) -> DataFrame:
-    business_key, surrogate = f"{name}_id", f"{name}_key"
-    return lookup(rows, dim, on={business_key: business_key}, take={surrogate: surrogate})
+def _keyed(rows: DataFrame, **dims: DataFrame) -> DataFrame:
+    """Rows with the surrogate key of each dimension (name: dimension)."""
+    for name, dim in dims.items():
+        rows = find_key(rows, dim, name)
+    return named_keys(rows, *dims)
 
 
 _REVENUE_DAYS = {"date_key": "invoice_date"}
@@ -46,7 +48,7 @@ def fact_revenue(
     at: Stamp = None,
 ) -> DataFrame:
     rows = with_date_keys(invoices, dim_date, _REVENUE_DAYS)
-    rows = _keyed(_keyed(rows, dim_dealer, "dealer"), dim_product, "product")
+    rows = _keyed(rows, dealer=dim_dealer, product=dim_product)
     return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_revenue")
 
 
@@ -63,11 +65,37 @@ def revenue_from_staging(
     few: bool = False,
 ) -> DataFrame:
     """``few`` is as for ``invoice_rows``."""
+    rows = moved_revenue(
+        invoices, subscriptions, contracts, accounts, products, dim_date, dim_dealer, dim_product, few
+    )
+    return named_revenue(rows, at)
+
+
+def moved_revenue(
+    invoices: DataFrame,
+    subscriptions: DataFrame,
+    contracts: DataFrame,
+    accounts: DataFrame,
+    products: DataFrame,
+    dim_date: DataFrame,
+    dim_dealer: DataFrame,
+    dim_product: DataFrame,
+    few: bool = False,
+) -> DataFrame:
+    """Revenue rows in the form in which they are moved, without hashed keys."""
     rows = invoice_rows(
-        invoices, subscriptions, contracts, accounts, products, dim_dealer, dim_product, few
+        invoices, subscriptions, contracts, accounts, products, dim_dealer, dim_product, few,
+        moved=True,
     )
     rows = with_date_keys(rows, dim_date, _REVENUE_DAYS)
-    return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_revenue")
+    asked = [c for c in rows.columns if c in column_types("fact_revenue") or c.startswith("__")]
+    return rows.select(*asked)
+
+
+def named_revenue(rows: DataFrame, at: Stamp = None) -> DataFrame:
+    """``moved_revenue`` rows as the fact has them, where they are."""
+    named = named_keys(rows, "product", "dealer").withColumn("loaded_at", run_stamp(at))
+    return conform(named, "fact_revenue")
 
 
 def fact_subscription(
@@ -78,7 +106,7 @@ def fact_subscription(
     at: Stamp = None,
 ) -> DataFrame:
     rows = with_date_keys(snapshot, dim_date, _SUBSCRIPTION_DAYS)
-    rows = _keyed(_keyed(rows, dim_dealer, "dealer"), dim_product, "product")
+    rows = _keyed(rows, dealer=dim_dealer, product=dim_product)
     return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_subscription")
 
 
@@ -109,7 +137,7 @@ def fact_listing_performance(
         dim_date,
         {"start_date_key": "listing_start_date", "end_date_key": "listing_end_date"},
     )
-    rows = _keyed(_keyed(rows, dim_dealer, "dealer"), dim_vehicle, "vehicle")
+    rows = _keyed(rows, dealer=dim_dealer, vehicle=dim_vehicle)
     return conform(rows.withColumn("loaded_at", run_stamp(at)), "fact_listing_performance")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions.casts import run_stamp
+from forecourt.functions.keys import hash_key
 from forecourt.functions.measures import count_where, one_of, or_zero
 from forecourt.operators.joins import lookup
 from forecourt.schemas import conform
@@ -47,7 +48,8 @@ def snapshot_rows(
     """Subscriptions with what their parents say and, where dimensions are given, their keys.
 
     A dimension is looked up right after the parent with the same id, where the rows
-    lie by that id already.
+    lie by that id already. NULL ids are spread by other ids, so that the key of a
+    subscription is moved only where it is asked for.
     """
     rows = subscriptions.withColumnRenamed("updated_at", "subscription_updated_at")
     rows = lookup(
@@ -61,11 +63,15 @@ def snapshot_rows(
             "auto_renew": "auto_renew",
             "contract_updated_at": "updated_at",
         },
+        spread_by=("dealer_id", "product_id", "subscription_start_date"),
     )
     product = {**_PRODUCT, "product_updated_at": "updated_at"}
-    rows = _with_parent(rows, products, "product", product, dim_product)
+    other = ("dealer_id", "subscription_start_date")
+    rows = _with_parent(rows, products, "product", product, dim_product, other)
     account = {**_ACCOUNT, "account_status": "account_status", "account_updated_at": "updated_at"}
-    return _with_parent(rows, accounts, "dealer", account, dim_dealer)
+    other = ("product_id", "subscription_start_date")
+    rows = _with_parent(rows, accounts, "dealer", account, dim_dealer, other)
+    return named_keys(rows, "product", "dealer")
 
 
 def int_dealer_subscription_snapshot(
@@ -81,11 +87,42 @@ def int_dealer_subscription_snapshot(
 
 
 def _with_parent(
-    rows: DataFrame, parent: DataFrame, name: str, take: Mapping[str, str], dim: DataFrame | None
+    rows: DataFrame,
+    parent: DataFrame,
+    name: str,
+    take: Mapping[str, str],
+    dim: DataFrame | None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    on = {f"{name}_id": f"{name}_id"}
-    rows = lookup(rows, parent, on, take)
-    return rows if dim is None else lookup(rows, dim, on, {f"{name}_key": f"{name}_key"})
+    rows = lookup(rows, parent, {f"{name}_id": f"{name}_id"}, take, spread_by)
+    return rows if dim is None else find_key(rows, dim, name, spread_by)
+
+
+def find_key(
+    rows: DataFrame, dim: DataFrame, name: str, spread_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Look a surrogate key up, in the form in which it is moved: see ``named_keys``.
+
+    A hashed key is as long as a row's other ids together and does not compress. Where the
+    dimension's key is the hash of its id, only that fact goes on with the row.
+    """
+    key, business_key = F.col(f"{name}_key"), f"{name}_id"
+    hashed = F.coalesce(key == hash_key(business_key), F.lit(False))
+    told = dim.select(
+        business_key, hashed.alias("hashed"), F.when(~hashed, key).alias("other")
+    )
+    take = {f"__{name}_hashed": "hashed", f"__{name}_other": "other"}
+    return lookup(rows, told, {business_key: business_key}, take, spread_by)
+
+
+def named_keys(rows: DataFrame, *names: str) -> DataFrame:
+    """The surrogate keys that ``find_key`` has found, after the last join."""
+    for name in names:
+        hashed, other = f"__{name}_hashed", f"__{name}_other"
+        if hashed in rows.columns:
+            key = F.when(F.col(hashed), hash_key(f"{name}_id")).otherwise(F.col(other))
+            rows = rows.withColumn(f"{name}_key", key).drop(hashed, other)
+    return rows
 
 
 def invoice_rows(
@@ -97,12 +134,14 @@ def invoice_rows(
     dim_dealer: DataFrame | None = None,
     dim_product: DataFrame | None = None,
     few: bool = False,
+    moved: bool = False,
 ) -> DataFrame:
     """Invoices with what their parents say and, where dimensions are given, their keys.
 
     Contract and product hang on the subscription found; the dealer is the invoice's own.
     Either side meets its own parents while it is narrow, then both meet once. With
     ``few`` invoices beside many subscriptions, those found go on to their parents instead.
+    ``moved`` rows are to be moved again: they leave the keys as ``find_key`` gives them.
     """
     own = {
         "contract_id": "contract_id",
@@ -125,11 +164,14 @@ def invoice_rows(
 
     if few:
         rows = with_contract_and_product(lookup(invoices, subscriptions, by_subscription, own))
-        return _with_parent(rows, accounts, "dealer", _ACCOUNT, dim_dealer)
+        rows = _with_parent(rows, accounts, "dealer", _ACCOUNT, dim_dealer)
+        return rows if moved else named_keys(rows, "product", "dealer")
     known = with_contract_and_product(subscriptions.select("subscription_id", *own.values()))
-    rows = _with_parent(invoices, accounts, "dealer", _ACCOUNT, dim_dealer)
+    other = ("subscription_id", "invoice_date")
+    rows = _with_parent(invoices, accounts, "dealer", _ACCOUNT, dim_dealer, other)
     found = {c: c for c in known.columns if c != "subscription_id"}
-    return lookup(rows, known, by_subscription, found)
+    rows = lookup(rows, known, by_subscription, found, ("dealer_id", "invoice_date"))
+    return rows if moved else named_keys(rows, "product", "dealer")
 
 
 def int_invoice_enriched(

@@ -269,3 +269,30 @@ def test_two_lookups_by_one_key_share_a_shuffle(spark):
         assert twice.filter("again = upper(dealer_id) AND name = again").count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_parent_told_unique_costs_nothing_unless_it_is_used(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, k string")
+    parent = spark.createDataFrame([("a", "x"), ("c", "y"), (None, "z"), (None, "w")], "p string, v string")
+    found = joins.lookup(left, joins.told_unique(parent, "p"), {"k": "p"}, {"v": "v"})
+    assert rows(found) == [(1, "a", "x"), (2, "b", None), (3, None, None)]
+    assert "Join" not in plan_of(found.select("id"))
+    twice = parent.unionAll(parent)  # rows that meet a repeated key are still multiplied
+    found = joins.lookup(left, joins.told_unique(twice, "p"), {"k": "p"}, {"v": "v"})
+    assert rows(found.select("id")) == [(1,), (1,), (2,), (3,)]
+
+
+def test_keys_are_named_after_the_last_move_and_stay_what_they_are(spark):
+    from forecourt.functions.keys import hash_key
+    from forecourt.plans.intermediate import find_key, named_keys
+
+    facts = spark.createDataFrame([("D1",), ("D2",), ("D3",), ("D4",), (None,)], "dealer_id string")
+    ids = spark.createDataFrame([("D1",), ("D2",), ("D3",)], "dealer_id string")
+    odd = F.when(F.col("dealer_id") == "D2", "own").when(F.col("dealer_id") == "D1", hash_key("dealer_id"))
+    dim = ids.withColumn("dealer_key", odd)
+    moved = find_key(facts, dim, "dealer")
+    assert "dealer_key" not in moved.columns  # the long text is not moved
+    plain = joins.lookup(facts, dim, {"dealer_id": "dealer_id"}, {"dealer_key": "dealer_key"})
+    named = named_keys(moved, "dealer")
+    assert rows(named, "dealer_id", "dealer_key") == rows(plain, "dealer_id", "dealer_key")
+    assert named.columns == ["dealer_id", "dealer_key"]
