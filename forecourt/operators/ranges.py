@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators.catalogue import END_OF_TIME
 
+LONGEST_STRETCH = 12
+
+
+def stretch_months(mean: float | None) -> int:
+    """Months of a stretch for periods that last ``mean`` months."""
+    return min(LONGEST_STRETCH, max(1, int((mean or 1) // 2)))
+
+
+def month_number(day: Column) -> Column:
+    """Months since the year 0."""
+    return F.year(day) * 12 + F.month(day) - 1
+
 
 def join_valid(
     rows: DataFrame,
@@ -28,15 +40,16 @@ def join_valid(
     period without a start, matches nothing; a row in several periods is repeated.
     ``how`` is ``inner`` or ``left``.
 
-    A period is listed under every month it touches between the first and the last
-    day of the rows, and a row meets the periods of its month: an equi join on keys
-    and month, which hashes or merges and can be split where a key is frequent, in
+    A period is listed under every stretch of months it touches between the first and
+    the last day of the rows, and a row meets the periods of its stretch: an equi join on
+    keys and stretch, which hashes or merges and can be split where a key is frequent, in
     place of a nested loop over all days of a key. First and last day are read from
-    ``days``, a cheaper frame with the same days (or more), if it is given.
+    ``days``, a cheaper frame with the same days (or more), if it is given. A stretch is
+    a month; where periods last long, it is half their mean length, a year at most, so that
+    few are listed more than a few times.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    month = F.trunc(F.col(day).cast("date"), "month")
     spanned = rows if days is None else days
     first, last = spanned.agg(F.min(F.col(day).cast("date")), F.max(F.col(day).cast("date"))).first()
     opens, closes = F.col("__start"), F.coalesce("__end", F.lit(END_OF_TIME))
@@ -47,13 +60,17 @@ def join_valid(
         F.col(end).cast("date").alias("__end"),
     )
     inside = kept.filter((opens <= F.lit(last)) & (closes >= F.lit(first)) & (opens <= closes))
-    months = F.sequence(
-        F.trunc(F.greatest(opens, F.lit(first)), "month"),
-        F.trunc(F.least(closes, F.lit(last)), "month"),
-        F.expr("INTERVAL 1 MONTH"),
-    )
-    listed = inside.withColumn("__month", F.explode(months))
-    same = (month == F.col("__month")) & F.col(day).cast("date").between(opens, closes)
+    start_no = month_number(F.greatest(opens, F.lit(first)))
+    end_no = month_number(F.least(closes, F.lit(last)))
+    width = stretch_months(inside.agg(F.avg(end_no - start_no + 1)).first()[0])
+
+    def stretch(months: Column) -> Column:
+        return F.floor(months / width).cast("int")
+
+    numbers = F.sequence(stretch(start_no), stretch(end_no))
+    listed = inside.withColumn("__stretch", F.explode(numbers))
+    own = stretch(month_number(F.col(day).cast("date")))
+    same = (own == F.col("__stretch")) & F.col(day).cast("date").between(opens, closes)
     for ours in on:
         same &= F.col(ours) == F.col(f"__on_{ours}")
     return rows.join(listed, same, how).select(
