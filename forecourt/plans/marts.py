@@ -128,33 +128,34 @@ def mart_product_performance_monthly(
             F.col("product_id"),
         ]
 
-    has_product = F.col("product_id").isNotNull()
+    def rows_of(fact: DataFrame, day: str, *columns: Column | str) -> DataFrame:
+        rows = fact.filter(F.col("product_id").isNotNull()).select(*keys(day), *columns)
+        return rows if keep_null_months else rows.filter(F.col("month_start").isNotNull())
+
+    amount, dealer = F.col("invoice_amount"), F.col("dealer_id").alias("revenue_dealer")
+    # Only revenue counts dealers, so only its rows are moved by dealer, before the others join.
+    by_dealer = (
+        rows_of(fact_revenue, "invoice_date", amount, dealer)
+        .groupBy(*PRODUCT_KEYS, "revenue_dealer")
+        .agg(F.sum("invoice_amount").alias("amount"), F.count(F.lit(1)).alias("invoices"))
+    )
     stacked = stack(
         [
-            fact_revenue.filter(has_product).select(
-                *keys("invoice_date"),
-                F.lit("revenue").alias("kind"),
-                F.col("invoice_amount").alias("amount"),
-                F.col("dealer_id").alias("revenue_dealer"),
-            ),
-            fact_subscription.filter(has_product).select(
-                *keys("subscription_start_date"),
-                F.lit("subscription").alias("kind"),
+            by_dealer,
+            rows_of(
+                fact_subscription,
+                "subscription_start_date",
                 is_active(F.col("subscription_status")).alias("active"),
                 "contract_price",
                 "discount_pct",
             ),
-            price_book.filter(has_product).select(
-                *keys("effective_from"), F.lit("price").alias("kind"), "list_price"
-            ),
+            rows_of(price_book, "effective_from", "list_price"),
         ]
     )
-    if not keep_null_months:
-        stacked = stacked.filter(F.col("month_start").isNotNull())
     grouped = stacked.groupBy(*PRODUCT_KEYS).agg(
         or_zero(sum_money(F.col("amount")), "decimal(18,2)").alias("revenue_eur"),
-        count_where(F.col("kind") == "revenue").alias("invoice_count"),
-        F.countDistinct("revenue_dealer").alias("dealer_count"),
+        or_zero(F.sum("invoices")).alias("invoice_count"),
+        F.count("revenue_dealer").alias("dealer_count"),
         count_where(F.col("active")).alias("active_subscriptions"),
         mean_decimal(F.col("contract_price"), "decimal(14,2)", 2).alias("avg_contract_price"),
         mean_decimal(F.col("discount_pct"), "decimal(12,4)").alias("avg_discount_pct"),
