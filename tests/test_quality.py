@@ -91,3 +91,17 @@ def test_hot_orphan_key(spark):
     child = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "gone").otherwise("here").alias("k"))
     parent = spark.createDataFrame([("here",)], "k string")
     assert rows(quality.orphan_rows(child, "k", parent, "k", "o")) == [("o", 3000)]
+
+
+def test_short_keys_are_equal_where_keys_are(spark):
+    from pyspark.sql import functions as F
+
+    from forecourt.plans.quality import short_key
+
+    keys = ["0A" * 16, "0a" * 16, "A" * 31, "0" + "A" * 31, "", "I1-1", None]
+    df = spark.createDataFrame([(k,) for k in keys for _ in range(2)], "key string")
+    found = df.groupBy(*short_key(df, "key")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert [r.n for r in found] == [2] * len(keys)
+    assert max(len(r.packed or b"") + len(r.plain or "") for r in found if r.packed) == 16
+    number = spark.range(1)
+    assert number.select(*short_key(number, "id")).columns == ["id"]
