@@ -254,8 +254,8 @@ class Lens:
             F.lpad((F.col(c) * 100).cast("decimal(18,0)").cast("string"), 20, "0")
             for c in ("l_extendedprice", "l_quantity")
         ]
-        lines = self.table("lineitem").withColumn("run_key", F.concat(*digits))
-        records = self.view("line_records", lines=lines)
+        records = self.view("line_records", lines=self.table("lineitem"))
+        records = records.withColumn("run_key", F.concat(*digits))
         text = VIEWS[name].replace("FROM {line_records}", ", run_key FROM {line_records}")
         return self.spark.sql(text, line_records=records)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,17 +103,24 @@ def upsert_version(
     write_version(batch if target is None else merge_rows(target, batch, key, guard), root)
 
 
-def touched_partitions(
-    known: DataFrame, batch: DataFrame, key: str, column: str, by_month: bool
-) -> DataFrame:
-    """Partitions the batch falls in, or whose rows it replaces (their dates may differ).
+def replaced_rows(known: DataFrame, batch: DataFrame, key: str) -> dict[str, int]:
+    """How many rows the batch replaces, by partition (their dates may differ from its own).
 
     ``known`` has keys and their partitions: the target, or what its index says.
     """
-    new = batch.select(partition_value(column, by_month).alias(PARTITION))
     keys = batch.select(F.col(key).alias("__key"))
-    old = known.join(keys, F.col(key) == F.col("__key"), "left_semi").select(PARTITION)
-    return new.union(old).distinct()
+    old = known.join(keys, F.col(key) == F.col("__key"), "left_semi")
+    return {r[0]: r[1] for r in old.groupBy(PARTITION).count().collect()}
+
+
+def rows_left(target: DataFrame, replaced: Mapping[str, int], touched: Sequence[str]) -> list[str]:
+    """Partitions among the touched ones that hold more rows than are replaced.
+
+    The others go whole, so their rows need not be read. Rows that the index does not
+    know apart, as their key repeats, count as left.
+    """
+    held = target.filter(F.col(PARTITION).isin(list(touched))).groupBy(PARTITION).count().collect()
+    return sorted(r[0] for r in held if r[1] > replaced.get(r[0], 0))
 
 
 def known_entries(
@@ -182,15 +189,20 @@ def upsert_partitions(
     if guard:
         batch = cut_lineage(drop_stale(batch, known, key, guard))
     # One value per month or day: as many as there are folders, never per row.
-    touched = [r[0] for r in touched_partitions(known, batch, key, column, by_month).collect()]
+    replaced = replaced_rows(known, batch, key)
+    touched = sorted(replaced.keys() | {r[0] for r in batch.select(value).distinct().collect()})
     if not touched and mark is None:
         return []
     entries = key_entries(batch, key, value, guard)
     if not indexed:
         others = without_keys(target, batch, key)
         entries = key_entries(others, key, F.col(PARTITION), guard).unionByName(entries)
-    inside = target.filter(F.col(PARTITION).isin(touched)).drop(PARTITION)
-    write_partitions(merge_rows(inside, batch, key), root, value, touched, mark, entries)
+    kept = rows_left(target, replaced, touched)
+    rows = batch
+    if kept:
+        inside = target.filter(F.col(PARTITION).isin(kept)).drop(PARTITION)
+        rows = merge_rows(inside, batch, key)
+    write_partitions(rows, root, value, touched, mark, entries)
     return touched
 
 

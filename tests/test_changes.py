@@ -339,3 +339,24 @@ def test_a_first_load_is_written_once_and_refused_before_it_is_published(spark,
     upsert.upsert_partitions(spark, f"{folder}/once", INVOICES, rows, "invoice_date", True)
     assert tables.read_partitions(spark, f"{folder}/once", INVOICES).count() == 2
     assert set(os.listdir(shared)) == before  # no copy of the batch
+
+
+def test_partitions_replaced_whole_are_not_read(spark, folder, monkeypatch):
+    both = invoice("a", date(2024, 1, 5)), invoice("b", date(2024, 2, 5))
+    put(spark, folder, *both)
+    put(spark, folder, invoice("c", date(2024, 2, 6)))
+    read = []
+    merge = upsert.merge_rows
+    monkeypatch.setattr(upsert, "merge_rows", lambda t, *a, **k: read.append(rows(t, "invoice_id")) or merge(t, *a, **k))
+    assert put(spark, folder, *both) == ["2024-01-01", "2024-02-01"]
+    assert read == [[("b",), ("c",)]]  # only the month with a row that stays
+    assert [r[0] for r in stored(spark, folder)] == ["a", "b", "c"]
+
+
+def test_columns_that_follow_are_added_after_rows_are_gathered(spark, folder):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01")], "n int, day string")
+    tables.write_partitions(
+        df, folder, F.col("day"), finish=lambda moved: moved.withColumn("twice", F.col("n") * 2)
+    )
+    found = tables.read_parts(spark, folder, spark.createDataFrame([], "n int, twice int").schema)
+    assert rows(found, "n", "twice", "part") == [(1, 2, "2024-01-01"), (2, 4, "2024-02-01")]
