@@ -160,7 +160,7 @@ def _(m: LensModels) -> DataFrame:
 def _(m: LensModels) -> DataFrame:
     # The same pages are staged and upserted twice.
     spec = STAGES[INVOICES]
-    pages = cut_lineage(single_record_pages(line_versions(m, "invoices")))
+    pages = cut_lineage(single_record_pages(line_versions(m, "invoices")), "zstd")
     root = scratch_path(m.spark, "invoices")
     for _run in range(2):
         upsert.upsert_partitions(

@@ -49,7 +49,7 @@ class LensModels(Lens):
     @cached_property
     def staged_lines(self) -> DataFrame:
         """Order lines written once, as a staged table would be: several models read them."""
-        return cut_lineage(self.view("line_records").drop("l_quantity", "l_tax"))
+        return cut_lineage(self.view("line_records").drop("l_quantity", "l_tax"), "zstd")
 
     @cached_property
     def staged_subscriptions(self) -> DataFrame:

@@ -232,7 +232,7 @@ READ_OF_FACTS = {
 def _(m: LensModels) -> DataFrame:
     # As in a daily run, a fact is written once; the gates and the marts read what was written.
     m.fact_revenue, m.fact_subscription = (
-        cut_lineage(getattr(m, fact).select(*columns)) for fact, columns in READ_OF_FACTS.items()
+        cut_lineage(getattr(m, fact).select(*columns), "zstd") for fact, columns in READ_OF_FACTS.items()
     )
     names = [t for t in KEYS if t.startswith(("dim_", "fact_", "mart_"))]
     return quality.analytics_checks({t: getattr(m, t) for t in names})

@@ -35,13 +35,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write the frame once to the shared folder and go on from the files.
 
     The written rows stay the same however often they are read, also when an
-    executor is lost; upstream work is not repeated.
+    executor is lost; upstream work is not repeated. ``compression`` is the codec of the
+    files, the session's if it is not given.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

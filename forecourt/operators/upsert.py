@@ -97,7 +97,7 @@ def upsert_version(
     if target is None and not verify_keys:
         write_version(batch, root)
         return
-    batch = cut_lineage(batch)
+    batch = cut_lineage(batch, "zstd")
     if verify_keys:
         require_unique_keys(batch, key)
     write_version(batch if target is None else merge_rows(target, batch, key, guard), root)
@@ -180,14 +180,14 @@ def upsert_partitions(
         write_partitions(batch, root, value, mark=mark, keys=first_entries)
         return []
     # Written once: the batch is used several times.
-    batch = cut_lineage(batch)
+    batch = cut_lineage(batch, "zstd")
     if verify_keys:
         require_unique_keys(batch, key)
     known = known_entries(spark, root, table, batch, guard)
     indexed = known is not None
     known = known if indexed else target
     if guard:
-        batch = cut_lineage(drop_stale(batch, known, key, guard))
+        batch = cut_lineage(drop_stale(batch, known, key, guard), "zstd")
     # One value per month or day: as many as there are folders, never per row.
     replaced = replaced_rows(known, batch, key)
     touched = sorted(replaced.keys() | {r[0] for r in batch.select(value).distinct().collect()})
